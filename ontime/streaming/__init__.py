@@ -1,0 +1,5 @@
+"""Left empty on purpose: the pipeline has no unbounded source, watermark or state.
+
+The validation rules of ``ontime.operators.quality`` are stateless projections, so they apply
+unchanged to a ``readStream`` DataFrame; nothing else here would gain from streaming.
+"""
