@@ -31,14 +31,18 @@ def to_float(text: Column) -> Column:
 
 
 def to_date(text: Column) -> Column:
-    return F.try_to_date(text, DATE_FORMAT)
+    return F.when(text != "", F.try_to_date(text, DATE_FORMAT))
 
 
-_BY_ROLE = {"integer": to_integer, "float": to_float, "date": to_date, "text": lambda text: text}
+def to_text(text: Column) -> Column:
+    return F.nullif(text, F.lit(""))
+
+
+_BY_ROLE = {"integer": to_integer, "float": to_float, "date": to_date, "text": to_text}
 
 
 def convert(name: str, text: Column) -> Column:
-    """Convert cleaned text according to the declared role of the column."""
+    """Convert trimmed text according to the declared role of the column."""
     if name not in schema.COLUMN_ROLES:
         raise ValueError(f"no conversion declared for column {name!r}")
     return _BY_ROLE[schema.COLUMN_ROLES[name]](text)

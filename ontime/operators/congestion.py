@@ -86,6 +86,12 @@ def attach_schedule(rows: DataFrame, slots: DataFrame) -> DataFrame:
 
 def add_schedule(flights: DataFrame, schedule_of: DataFrame | None = None) -> DataFrame:
     """Flights with their six planned volumes, one row each; the fact table is joined once."""
-    slots = materialize(slot_counts(schedule_of if schedule_of is not None else flights))
-    features = attach_schedule(slots.select(*SLOT), slots)
-    return join_by_key(with_slots(flights), features, SLOT).drop("departure_slot", "arrival_slot")
+    placed = with_slots(flights)
+    if schedule_of is None:
+        slots = materialize(slot_counts(flights))
+        wanted = slots.select(*SLOT)
+    else:
+        slots = materialize(slot_counts(schedule_of))
+        wanted = placed.select(*SLOT).distinct()
+    features = attach_schedule(wanted, slots)
+    return join_by_key(placed, features, SLOT).drop("departure_slot", "arrival_slot")

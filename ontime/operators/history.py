@@ -80,8 +80,13 @@ def add_history(flights: DataFrame, history_of: DataFrame | None = None) -> Data
     The five joins happen at the daily leg grain; the fact table is then joined once. The history
     comes from ``history_of`` (all flights), by default the flights themselves.
     """
-    legs = materialize(leg_days(history_of if history_of is not None else flights))
-    features = attach_history(legs.select(*LEG_DAY), legs)
+    if history_of is None:
+        legs = materialize(leg_days(flights))
+        wanted = legs.select(*LEG_DAY)
+    else:
+        legs = materialize(leg_days(history_of))
+        wanted = flights.select(*LEG_DAY).distinct()
+    features = attach_history(wanted, legs)
     return join_by_key(flights, features, LEG_DAY)
 
 

@@ -154,22 +154,28 @@ def complete_cases(
 def _pearson(cases: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Pearson coefficients of column pairs as ``(variable_x, variable_y, correlation)``.
 
-    Covariances and deviations update incrementally and merge, so one aggregate pass gives every
-    pair. A constant variable has a null coefficient, itself included.
+    A first pass finds means and extremes, a second one sums the products of centred values, so
+    large values lose no digits. A constant variable has a null coefficient, itself included.
     """
     names = sorted({name for pair in pairs for name in pair})
-    unordered = sorted({tuple(sorted(pair)) for pair in pairs if pair[0] != pair[1]})
-    wide = cases.agg(
-        *[F.stddev_pop(name).alias(f"dev_{name}") for name in names],
-        *[F.covar_pop(x, y).alias(f"cov_{x}_{y}") for x, y in unordered],
+    profile = cases.agg(
+        *[F.avg(name).alias(f"mean_{name}") for name in names],
+        *[(F.min(name) < F.max(name)).alias(f"varies_{name}") for name in names],
+    ).select(F.struct("*")).scalar()
+    centred = cases.select(
+        *[(F.col(name) - profile.getField(f"mean_{name}")).alias(name) for name in names]
+    )
+    products = sorted({tuple(sorted(pair)) for pair in pairs} | {(name, name) for name in names})
+    wide = centred.agg(
+        *[F.sum(F.col(x) * F.col(y)).alias(f"{x}*{y}") for x, y in products],
     )
 
     def coefficient(x: str, y: str) -> Column:
         first, second = sorted((x, y))
-        if x == y:
-            return F.when(F.col(f"dev_{x}") > 0, F.lit(1.0))
-        scale = F.col(f"dev_{first}") * F.col(f"dev_{second}")
-        return F.try_divide(F.col(f"cov_{first}_{second}"), scale)
+        scale = F.sqrt(F.col(f"`{x}*{x}`")) * F.sqrt(F.col(f"`{y}*{y}`"))
+        defined = profile.getField(f"varies_{x}") & profile.getField(f"varies_{y}")
+        value = F.lit(1.0) if x == y else F.try_divide(F.col(f"`{first}*{second}`"), scale)
+        return F.when(defined, value)
 
     cells = F.array(*[
         F.struct(
