@@ -45,23 +45,21 @@ def rolling_history(legs: DataFrame, level: str) -> DataFrame:
     the calendar has days.
     """
     keys, lengths = schema.HISTORY_LEVELS[level]
-    day = F.unix_date("fl_date")
-    by_key = Window.partitionBy(*keys).orderBy(day)
-
-    def previous(measure: str, days: int):
-        return F.sum(measure).over(by_key.rangeBetween(-days, -1))
-
+    by_key = Window.partitionBy(*keys).orderBy(F.unix_date("fl_date"))
+    sums = {
+        f"{measure}_{days}": F.sum(measure).over(by_key.rangeBetween(-days, -1))
+        for days in lengths for measure in MEASURES
+    }
     features = []
     for days in lengths:
-        rates = (
-            ratio(previous("delayed", days), previous("completed", days)),
-            ratio(previous("disrupted", days), previous("flights", days)),
-            previous("flights", days).cast("double"),
-        )
-        names = [f"{level}_{m}_{days}d" for m in ("delay_rate", "disruption_rate", "flight_count")]
-        features += [value.alias(name) for value, name in zip(rates, names)]
+        flights, completed, delayed, disrupted = [F.col(f"{m}_{days}") for m in MEASURES]
+        features += [
+            ratio(delayed, completed).alias(f"{level}_delay_rate_{days}d"),
+            ratio(disrupted, flights).alias(f"{level}_disruption_rate_{days}d"),
+            flights.cast("double").alias(f"{level}_flight_count_{days}d"),
+        ]
     known = daily_counts(legs, level).filter(F.col("fl_date").isNotNull())
-    return known.select("fl_date", *keys, *features)
+    return known.withColumns(sums).select("fl_date", *keys, *features)
 
 
 def attach_history(rows: DataFrame, legs: DataFrame) -> DataFrame:

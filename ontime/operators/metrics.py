@@ -17,12 +17,12 @@ def overview(flights: DataFrame) -> DataFrame:
     percentiles both come from that small table.
     """
     flown = outcome.is_completed()
-    by_delay = flights.groupBy(F.when(flown, outcome.DELAY).alias("delay")).agg(
+    by_delay = flights.groupBy(F.when(flown, outcome.delay()).alias("delay")).agg(
         F.count(F.lit(1)).alias("flights"),
         F.count_if(flown).alias("completed"),
         F.count_if(outcome.is_delayed()).alias("delayed"),
-        F.count_if(outcome.CANCELLED == 1).alias("cancelled"),
-        F.count_if(outcome.DIVERTED == 1).alias("diverted"),
+        F.count_if(outcome.cancelled() == 1).alias("cancelled"),
+        F.count_if(outcome.diverted() == 1).alias("diverted"),
         F.sum("dep_delay").alias("departure_delay"),
         F.count("dep_delay").alias("departures"),
     )
@@ -90,8 +90,8 @@ def punctuality(flights: DataFrame, dimension: str) -> DataFrame:
         F.count(F.lit(1)).alias("flight_count"),
         F.count_if(flown).alias("completed_flight_count"),
         F.count_if(outcome.is_delayed()).alias("delayed_flight_count"),
-        F.count_if(outcome.CANCELLED == 1).alias("cancelled_flight_count"),
-        F.avg(F.when(flown, outcome.DELAY)).alias("average_arrival_delay_minutes"),
+        F.count_if(outcome.cancelled() == 1).alias("cancelled_flight_count"),
+        F.avg(F.when(flown, outcome.delay())).alias("average_arrival_delay_minutes"),
         F.avg("dep_delay").alias("average_departure_delay_minutes"),
     )
     return counts.select(
@@ -159,32 +159,42 @@ def _pearson(cases: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """
     names = sorted({name for pair in pairs for name in pair})
     profile = cases.agg(
-        *[F.avg(name).alias(f"mean_{name}") for name in names],
-        *[(F.min(name) < F.max(name)).alias(f"varies_{name}") for name in names],
+        F.array(*[F.avg(name) for name in names]).alias("means"),
+        F.array(*[F.min(name) < F.max(name) for name in names]).alias("varies"),
     ).select(F.struct("*")).scalar()
+    means, varies = profile.getField("means"), profile.getField("varies")
     centred = cases.select(
-        *[(F.col(name) - profile.getField(f"mean_{name}")).alias(name) for name in names]
+        *[(F.col(name) - F.get(means, F.lit(i))).alias(name) for i, name in enumerate(names)]
     )
     products = sorted({tuple(sorted(pair)) for pair in pairs} | {(name, name) for name in names})
-    wide = centred.agg(
-        *[F.sum(F.col(x) * F.col(y)).alias(f"{x}*{y}") for x, y in products],
+    place = {pair: i for i, pair in enumerate(products)}
+    sums = centred.agg(
+        F.array(*[F.sum(F.col(x) * F.col(y)) for x, y in products]).alias("sums")
     )
-
-    def coefficient(x: str, y: str) -> Column:
-        first, second = sorted((x, y))
-        scale = F.sqrt(F.col(f"`{x}*{x}`")) * F.sqrt(F.col(f"`{y}*{y}`"))
-        defined = profile.getField(f"varies_{x}") & profile.getField(f"varies_{y}")
-        value = F.lit(1.0) if x == y else F.try_divide(F.col(f"`{first}*{second}`"), scale)
-        return F.when(defined, value)
-
-    cells = F.array(*[
+    wanted = F.array(*[
         F.struct(
-            F.lit(x).alias("variable_x"), F.lit(y).alias("variable_y"),
-            coefficient(x, y).alias("correlation"),
+            F.lit(x).alias("x"), F.lit(y).alias("y"),
+            F.lit(place[tuple(sorted((x, y)))]).alias("xy"),
+            F.lit(place[x, x]).alias("xx"), F.lit(place[y, y]).alias("yy"),
+            F.lit(names.index(x)).alias("ix"), F.lit(names.index(y)).alias("iy"),
         )
         for x, y in pairs
     ])
-    return wide.select(F.inline(cells))
+
+    def cell(pair: Column) -> Column:
+        def total(place_name: str) -> Column:
+            return F.get("sums", pair.getField(place_name))
+
+        defined = F.get(varies, pair.getField("ix")) & F.get(varies, pair.getField("iy"))
+        value = F.when(pair.getField("ix") == pair.getField("iy"), F.lit(1.0)).otherwise(
+            F.try_divide(total("xy"), F.sqrt(total("xx")) * F.sqrt(total("yy")))
+        )
+        return F.struct(
+            pair.getField("x").alias("variable_x"), pair.getField("y").alias("variable_y"),
+            F.when(defined, value).alias("correlation"),
+        )
+
+    return sums.select(F.inline(F.transform(wanted, cell)))
 
 
 def correlation_matrix(

@@ -117,11 +117,10 @@ class DelayModel:
         )
 
 
-def _classifier(settings: TreeSettings, iterations: int) -> GBTClassifier:
+def _classifier(settings: TreeSettings, iterations: int, **more) -> GBTClassifier:
     return GBTClassifier(
         labelCol=schema.TARGET_LABEL, featuresCol="features", maxIter=iterations,
-        maxDepth=settings.depth, stepSize=settings.learning_rate, seed=settings.seed,
-        cacheNodeIds=False,
+        maxDepth=settings.depth, stepSize=settings.learning_rate, seed=settings.seed, **more,
     )
 
 
@@ -149,7 +148,8 @@ def fit(frame: DataFrame, settings: TreeSettings = TreeSettings()) -> DelayModel
     )
     trees = settings.iterations
     if 0 < counts.tuning_late < counts.tuning:
-        stopping = _classifier(settings, trees).setValidationIndicatorCol("is_tuning")
-        stopped = stopping.setValidationTol(settings.tolerance).fit(vectors)
-        trees = max(1, stopped.getNumTrees)
+        stopping = _classifier(
+            settings, trees, validationIndicatorCol="is_tuning", validationTol=settings.tolerance
+        )
+        trees = max(1, stopping.fit(vectors).getNumTrees)
     return DelayModel(encodings, prior, _classifier(settings, trees).fit(vectors))

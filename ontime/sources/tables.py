@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ontime import schema
 
 
-def read_flights_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_flights_csv(
+    spark: SparkSession, path: str | list[str], header: bool = True
+) -> DataFrame:
     """Raw flights as text, malformed records kept in ``_corrupt_record``.
 
     Column pruning is turned off for this scan: a pruned parser does not notice missing or
@@ -15,7 +17,7 @@ def read_flights_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     return (
         spark.read.schema(schema.raw_schema())
-        .option("header", True)
+        .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", schema.CORRUPT_COLUMN)
         .option("encoding", "UTF-8")
