@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ontime.functions import clock, outcome
-from ontime.operators.history import LEG_DAY, count_outcomes, join_by_key
+from ontime.operators.attach import FeatureTable, attach, key_counts, row_bound
+from ontime.operators.history import LEG_DAY, count_outcomes
 from ontime.session import materialize
 
 # Finest grain of the schedule: a leg of a day with its scheduled hours.
@@ -74,24 +75,24 @@ def carrier_origin_per_day(slots: DataFrame) -> DataFrame:
     )
 
 
-def attach_schedule(rows: DataFrame, slots: DataFrame) -> DataFrame:
-    """Left-join the four volume tables to a table that carries the slot columns."""
-    return (
-        rows.join(departures_per_hour(slots), ["origin", "departure_slot"], "left")
-        .join(arrivals_per_hour(slots), ["dest", "arrival_slot"], "left")
-        .join(route_per_day(slots), ["fl_date", "origin", "dest"], "left")
-        .join(carrier_origin_per_day(slots), ["fl_date", "op_unique_carrier", "origin"], "left")
+def schedule_tables(slots: DataFrame, counts: dict[str, int] | None = None) -> list[FeatureTable]:
+    """The four volume tables, bounded by the distinct days, hours and keys of ``slots``."""
+    counts = counts or key_counts(slots, SLOT)
+    keyed = (
+        (departures_per_hour(slots), ("origin", "departure_slot")),
+        (arrivals_per_hour(slots), ("dest", "arrival_slot")),
+        (route_per_day(slots), ("fl_date", "origin", "dest")),
+        (carrier_origin_per_day(slots), ("fl_date", "op_unique_carrier", "origin")),
     )
+    return [FeatureTable(rows, keys, row_bound(counts, keys)) for rows, keys in keyed]
 
 
 def add_schedule(flights: DataFrame, schedule_of: DataFrame | None = None) -> DataFrame:
-    """Flights with their six planned volumes, one row each; the fact table is joined once."""
-    placed = with_slots(flights)
-    if schedule_of is None:
-        slots = materialize(slot_counts(flights))
-        wanted = slots.select(*SLOT)
-    else:
-        slots = materialize(slot_counts(schedule_of))
-        wanted = placed.select(*SLOT).distinct()
-    features = attach_schedule(wanted, slots)
-    return join_by_key(placed, features, SLOT).drop("departure_slot", "arrival_slot")
+    """Flights with their six planned volumes, one row each.
+
+    Volumes come from ``schedule_of`` (all flights), by default the flights themselves.
+    """
+    slots = materialize(slot_counts(schedule_of if schedule_of is not None else flights))
+    return attach(with_slots(flights), schedule_tables(slots)).drop(
+        "departure_slot", "arrival_slot"
+    )

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ontime import schema
 from ontime.functions import outcome
 from ontime.functions.ratios import ratio
+from ontime.operators.attach import FeatureTable, attach, key_counts, row_bound
 from ontime.session import materialize
 
 # Finest daily grain: every history level is a roll-up of it.
@@ -62,36 +61,20 @@ def rolling_history(legs: DataFrame, level: str) -> DataFrame:
     return known.withColumns(sums).select("fl_date", *keys, *features)
 
 
-def attach_history(rows: DataFrame, legs: DataFrame) -> DataFrame:
-    """Left-join the five histories to a table that carries the day, carrier, origin and dest."""
-
-    def join_level(data: DataFrame, level: str) -> DataFrame:
-        keys, _ = schema.HISTORY_LEVELS[level]
-        return data.join(rolling_history(legs, level), ["fl_date", *keys], "left")
-
-    return reduce(join_level, schema.HISTORY_LEVELS, rows)
+def history_tables(legs: DataFrame, counts: dict[str, int] | None = None) -> list[FeatureTable]:
+    """The five histories, bounded by the distinct days and keys of the stored ``legs``."""
+    counts = counts or key_counts(legs, LEG_DAY)
+    tables = []
+    for level, (keys, _) in schema.HISTORY_LEVELS.items():
+        names = ("fl_date", *keys)
+        tables.append(FeatureTable(rolling_history(legs, level), names, row_bound(counts, names)))
+    return tables
 
 
 def add_history(flights: DataFrame, history_of: DataFrame | None = None) -> DataFrame:
     """Flights with their 51 history features, one row each.
 
-    The five joins happen at the daily leg grain; the fact table is then joined once. The history
-    comes from ``history_of`` (all flights), by default the flights themselves.
+    The history comes from ``history_of`` (all flights), by default the flights themselves.
     """
-    if history_of is None:
-        legs = materialize(leg_days(flights))
-        wanted = legs.select(*LEG_DAY)
-    else:
-        legs = materialize(leg_days(history_of))
-        wanted = flights.select(*LEG_DAY).distinct()
-    features = attach_history(wanted, legs)
-    return join_by_key(flights, features, LEG_DAY)
-
-
-def join_by_key(facts: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on possibly null keys; ``features`` has one row per key, null keys included."""
-    renamed = features.withColumnsRenamed({name: f"_key_{name}" for name in keys})
-    same = reduce(
-        lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_key_{name}")) for name in keys]
-    )
-    return facts.join(renamed, same, "left").drop(*[f"_key_{name}" for name in keys])
+    legs = materialize(leg_days(history_of if history_of is not None else flights))
+    return attach(flights, history_tables(legs))

@@ -170,7 +170,7 @@ def _pearson(cases: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     place = {pair: i for i, pair in enumerate(products)}
     sums = centred.agg(
         F.array(*[F.sum(F.col(x) * F.col(y)) for x, y in products]).alias("sums")
-    )
+    ).withColumn("varies", varies)
     wanted = F.array(*[
         F.struct(
             F.lit(x).alias("x"), F.lit(y).alias("y"),
@@ -185,7 +185,7 @@ def _pearson(cases: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
         def total(place_name: str) -> Column:
             return F.get("sums", pair.getField(place_name))
 
-        defined = F.get(varies, pair.getField("ix")) & F.get(varies, pair.getField("iy"))
+        defined = F.get("varies", pair.getField("ix")) & F.get("varies", pair.getField("iy"))
         value = F.when(pair.getField("ix") == pair.getField("iy"), F.lit(1.0)).otherwise(
             F.try_divide(total("xy"), F.sqrt(total("xx")) * F.sqrt(total("yy")))
         )

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ontime import schema
+from ontime.operators.attach import FeatureTable, join_table
 from ontime.session import materialize
 
 # Missing numbers are placed below every observed value, as tree learners with a "minimum" rule do.
@@ -53,13 +56,15 @@ def overall_rate(frame: DataFrame, label: str = schema.TARGET_LABEL) -> DataFram
 
 def encode(frame: DataFrame, encodings: DataFrame, prior: float | Column,
            categories: tuple[str, ...] = schema.CATEGORY_FEATURES) -> DataFrame:
-    """Add the rate of each category; small encodings are broadcast by the planner, others not."""
-    data = frame
+    """Add the rate of each category; encodings with few enough levels are broadcast."""
+    sizes = {row.category: row["count"] for row in encodings.groupBy("category").count().collect()}
+    tables = []
     for name in categories:
-        table = encodings.filter(F.col("category") == name).select(
+        levels = encodings.filter(F.col("category") == name).select(
             F.col("level").alias(name), F.col("rate").alias(encoded_name(name))
         )
-        data = data.join(table, name, "left")
+        tables.append(FeatureTable(levels, (name,), sizes.get(name, 0)))
+    data = reduce(join_table, tables, frame)
     prior = prior if isinstance(prior, Column) else F.lit(float(prior))
     return data.withColumns({
         encoded_name(name): F.coalesce(F.col(encoded_name(name)), prior) for name in categories
@@ -147,9 +152,14 @@ def fit(frame: DataFrame, settings: TreeSettings = TreeSettings()) -> DelayModel
         (~is_train).alias("is_tuning"),
     )
     trees = settings.iterations
-    if 0 < counts.tuning_late < counts.tuning:
-        stopping = _classifier(
-            settings, trees, validationIndicatorCol="is_tuning", validationTol=settings.tolerance
-        )
-        trees = max(1, stopping.fit(vectors).getNumTrees)
-    return DelayModel(encodings, prior, _classifier(settings, trees).fit(vectors))
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if 0 < counts.tuning_late < counts.tuning:
+            stopping = _classifier(
+                settings, trees, validationIndicatorCol="is_tuning",
+                validationTol=settings.tolerance,
+            )
+            trees = max(1, stopping.fit(vectors).getNumTrees)
+        return DelayModel(encodings, prior, _classifier(settings, trees).fit(vectors))
+    finally:
+        vectors.unpersist()

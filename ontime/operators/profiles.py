@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ontime import schema
-from ontime.operators.congestion import SLOT, attach_schedule
-from ontime.operators.history import LEG_DAY, rolling_history
+from ontime.operators.attach import attach
+from ontime.operators.congestion import SLOT, schedule_tables
+from ontime.operators.history import LEG_DAY, MEASURES, rolling_history
 from ontime.operators.ranks import exact_quantiles
 from ontime.session import materialize
 
@@ -77,7 +78,7 @@ def history_profile(weights: DataFrame, legs: DataFrame, level: str, defaults: D
 
 def weighted_schedule(weights: DataFrame, slots: DataFrame) -> DataFrame:
     """The six volumes of every slot that holds model rows."""
-    return attach_schedule(weights, slots)
+    return attach(weights, schedule_tables(slots), grain_of=slots)
 
 
 def schedule_defaults(volumes: DataFrame) -> DataFrame:
@@ -121,8 +122,6 @@ class Profiles:
     @classmethod
     def build(cls, base: DataFrame, slots: DataFrame) -> "Profiles":
         """Profiles of the model rows ``base``, from the slot counts of all flights."""
-        from ontime.operators.history import MEASURES
-
         weights = materialize(frame_slots(base))
         legs = materialize(slots.groupBy(*LEG_DAY).agg(*[F.sum(m).alias(m) for m in MEASURES]))
         volumes = materialize(weighted_schedule(weights, slots))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ontime import schema
 from ontime.functions import clock, outcome, text
-from ontime.operators.congestion import SLOT, attach_schedule, slot_counts, with_slots
-from ontime.operators.history import LEG_DAY, MEASURES, attach_history, join_by_key
+from ontime.operators.attach import attach, key_counts
+from ontime.operators.congestion import SLOT, schedule_tables, slot_counts, with_slots
+from ontime.operators.history import LEG_DAY, MEASURES, history_tables
 from ontime.operators.sampling import sample_fraction
 from ontime.session import materialize
 
@@ -54,12 +55,9 @@ def with_calendar(flights: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return flights.select(*keep, *[value.alias(name) for name, value in features.items()])
 
 
-def slot_features(slots: DataFrame) -> DataFrame:
-    """Schedule and history features of every slot, both joined at the slot grain."""
-    legs = materialize(slots.groupBy(*LEG_DAY).agg(*[F.sum(m).alias(m) for m in MEASURES]))
-    leg_features = attach_history(legs.select(*LEG_DAY), legs)
-    scheduled = attach_schedule(slots.select(*SLOT), slots)
-    return join_by_key(scheduled, leg_features, LEG_DAY)
+def leg_counts(slots: DataFrame) -> DataFrame:
+    """Daily leg counts rolled up from the slots, stored for the five history levels."""
+    return materialize(slots.groupBy(*LEG_DAY).agg(*[F.sum(m).alias(m) for m in MEASURES]))
 
 
 def model_frame(
@@ -68,8 +66,8 @@ def model_frame(
 ) -> DataFrame:
     """Completed flights (a fraction of them if asked) with 87 features and the target.
 
-    Volumes and histories always come from all the flights, cancelled ones included. They meet
-    the fact table in a single join on the slot.
+    Volumes and histories always come from all the flights, cancelled ones included; ``slots``
+    may pass their stored counts.
     """
     schema.assert_no_leakage(schema.FEATURES)
     if slots is None:
@@ -81,7 +79,9 @@ def model_frame(
         "op_carrier_fl_num", "origin_state_nm", "dest_state_nm", "crs_dep_time", "crs_arr_time",
         "crs_elapsed_time", "distance",
     )
-    joined = join_by_key(slim, slot_features(slots), SLOT)
+    counts = key_counts(slots, SLOT)
+    tables = schedule_tables(slots, counts) + history_tables(leg_counts(slots), counts)
+    joined = attach(slim, tables, grain_of=slots)
     return joined.select(
         key, F.col("fl_date").alias("flight_date"), "month",
         *[value.alias(name) for name, value in calendar_columns().items()
