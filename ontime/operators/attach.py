@@ -64,6 +64,9 @@ def attach(facts: DataFrame, tables: list[FeatureTable], grain_of: DataFrame | N
     from ``grain_of`` (every fact key must occur in it; by default the facts themselves), so that
     the facts are shuffled once and not once per table.
     """
+    columns = [*facts.columns, *[
+        name for table in tables for name in table.rows.columns if name not in table.keys
+    ]]
     small = [table for table in tables if table.is_small]
     large = [table for table in tables if not table.is_small]
     if len(large) > 1:
@@ -72,4 +75,4 @@ def attach(facts: DataFrame, tables: list[FeatureTable], grain_of: DataFrame | N
         facts = join_by_key(facts, reduce(join_table, large, grain), keys)
     else:
         facts = reduce(join_table, large, facts)
-    return reduce(join_table, small, facts)
+    return reduce(join_table, small, facts).select(*columns)

@@ -281,7 +281,8 @@ def test_prepare_then_analyze(spark, tmp_path):
     with pytest.raises(Exception):
         prepare.prepare(spark, str(source), output)
     prepare.prepare(spark, str(source), output, "append", sample_size=5)
-    assert tables.read_flights(spark, f"{output}/flights").count() == 4
+    flights = tables.read_flights(spark, f"{output}/flights")
+    assert flights.count() == 4
     analyze.analyze(flights, f"{output}/analysis")
     head = spark.read.json(f"{output}/analysis/overview").first()
     assert (head.flight_count, head.delayed_flight_count) == (4, 2)
