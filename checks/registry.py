@@ -201,9 +201,11 @@ def schedule_defaults(flights: DataFrame) -> DataFrame:
 
 def profile(kind: str, name: str):
     def build(flights: DataFrame) -> DataFrame:
-        table = build_profiles(flights).tables[f"{kind}_{name}"]
+        base, slots = profile_inputs(flights)
+        weights = materialize(profiles.frame_slots(base))
         if kind == "schedule":
-            return table
+            return profiles.schedule_profiles(weights, slots, (name,))[f"schedule_{name}"]
+        table = profiles.history_profiles(weights, slots, (name,))[f"history_{name}"]
         return rounded(table, *schema.history_features(name))
     return over_flights(build)
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ontime import schema
-from ontime.operators.attach import attach
+from ontime.operators.attach import FeatureTable, attach
 from ontime.operators.congestion import SLOT, schedule_tables
 from ontime.operators.history import LEG_DAY, MEASURES, rolling_history
 from ontime.operators.ranks import exact_quantiles
@@ -100,6 +100,26 @@ def schedule_profile(volumes: DataFrame, name: str, defaults: DataFrame) -> Data
     return medians.select(*keys, *[_or_default(F.col(f), fallback, f) for f in features])
 
 
+def history_profiles(
+    weights: DataFrame, slots: DataFrame, levels: tuple[str, ...] = tuple(schema.HISTORY_LEVELS)
+) -> dict[str, DataFrame]:
+    """Defaults and latest history of the levels, by table name."""
+    legs = materialize(slots.groupBy(*LEG_DAY).agg(*[F.sum(m).alias(m) for m in MEASURES]))
+    defaults = materialize(history_defaults(weights, legs))
+    tables = {f"history_{n}": history_profile(weights, legs, n, defaults) for n in levels}
+    return {"history_defaults": defaults, **tables}
+
+
+def schedule_profiles(
+    weights: DataFrame, slots: DataFrame, names: tuple[str, ...] = tuple(schema.SCHEDULE_PROFILES)
+) -> dict[str, DataFrame]:
+    """Defaults and typical volumes, by table name."""
+    volumes = materialize(weighted_schedule(weights, slots))
+    defaults = materialize(schedule_defaults(volumes))
+    tables = {f"schedule_{n}": schedule_profile(volumes, n, defaults) for n in names}
+    return {"schedule_defaults": defaults, **tables}
+
+
 def history_cutoff(weights: DataFrame) -> DataFrame:
     """Last day the profiles know about."""
     return weights.agg(F.max("fl_date").alias("history_cutoff_date"))
@@ -114,7 +134,7 @@ def _or_default(value: Column, defaults: Column, name: str) -> Column:
 
 
 class Profiles:
-    """All profile tables of a training run, by name."""
+    """All profile tables of a training run, by name; stored, so that they can be counted."""
 
     def __init__(self, tables: dict[str, DataFrame]):
         self.tables = tables
@@ -123,44 +143,41 @@ class Profiles:
     def build(cls, base: DataFrame, slots: DataFrame) -> "Profiles":
         """Profiles of the model rows ``base``, from the slot counts of all flights."""
         weights = materialize(frame_slots(base))
-        legs = materialize(slots.groupBy(*LEG_DAY).agg(*[F.sum(m).alias(m) for m in MEASURES]))
-        volumes = materialize(weighted_schedule(weights, slots))
-        tables = {"history_defaults": materialize(history_defaults(weights, legs))}
-        tables["schedule_defaults"] = materialize(schedule_defaults(volumes))
-        for level in schema.HISTORY_LEVELS:
-            tables[f"history_{level}"] = history_profile(
-                weights, legs, level, tables["history_defaults"]
-            )
-        for name in schema.SCHEDULE_PROFILES:
-            tables[f"schedule_{name}"] = schedule_profile(
-                volumes, name, tables["schedule_defaults"]
-            )
-        tables["history_cutoff"] = history_cutoff(weights)
-        return cls(tables)
+        tables = {
+            **history_profiles(weights, slots), **schedule_profiles(weights, slots),
+            "history_cutoff": history_cutoff(weights),
+        }
+        return cls({name: materialize(table) for name, table in tables.items()})
+
+    def _feature_table(self, name: str, keys: tuple[str, ...]) -> FeatureTable:
+        table = self.tables[name].drop("profile_date")
+        return FeatureTable(table, keys, table.count())
 
     def complete(self, requests: DataFrame) -> DataFrame:
         """Fill in the volumes (given, else typical, else default) and the latest history.
 
         ``requests`` carries the six volume columns, possibly null, and both hours. Profiles are
-        equi-joined and their size decides at run time whether they are broadcast.
+        attached by their keys, those counted small enough being broadcast.
         """
         given = {name: f"_given_{name}" for name in schema.SCHEDULE_FEATURES}
-        data = requests.withColumnsRenamed(given)
-        for name, (keys, _) in schema.SCHEDULE_PROFILES.items():
-            data = data.join(self.tables[f"schedule_{name}"], list(keys), "left")
-        schedule_defaults_row = _as_scalar(self.tables["schedule_defaults"])
-        history_defaults_row = _as_scalar(self.tables["history_defaults"])
-        for level, (keys, _) in schema.HISTORY_LEVELS.items():
-            if keys:
-                table = self.tables[f"history_{level}"].drop("profile_date")
-                data = data.join(table, list(keys), "left")
+        keyed = [
+            (f"schedule_{name}", keys) for name, (keys, _) in schema.SCHEDULE_PROFILES.items()
+        ] + [
+            (f"history_{level}", keys) for level, (keys, _) in schema.HISTORY_LEVELS.items() if keys
+        ]
+        data = attach(
+            requests.withColumnsRenamed(given),
+            [self._feature_table(name, keys) for name, keys in keyed],
+        )
+        typical = _as_scalar(self.tables["schedule_defaults"])
+        usual = _as_scalar(self.tables["history_defaults"])
         latest = _as_scalar(self.tables["history_global"])
         filled = {
-            name: F.coalesce(F.col(column), F.col(name), schedule_defaults_row.getField(name))
+            name: F.coalesce(F.col(column), F.col(name), typical.getField(name))
             for name, column in given.items()
         }
         for level, (keys, _) in schema.HISTORY_LEVELS.items():
             for name in schema.history_features(level):
                 known = F.col(name) if keys else latest.getField(name)
-                filled[name] = F.coalesce(known, history_defaults_row.getField(name))
+                filled[name] = F.coalesce(known, usual.getField(name))
         return data.withColumns(filled).drop(*given.values())
