@@ -124,6 +124,8 @@ def _stored_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFra
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean flights dataset."""
 
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
     def build() -> DataFrame:
         source = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"

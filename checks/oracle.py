@@ -9,7 +9,6 @@ from __future__ import annotations
 from checks import binding
 from checks.registry import EXACT_SAMPLE, EXPLORED, SAMPLE
 from ontime import schema
-from ontime.operators.quality import flight_rules  # noqa: F401  (rule codes are listed below)
 
 MINUTES = "(({0} // 100) * 60 + {0} % 100) % 1440"
 DEP, ARR = MINUTES.format("crs_dep_time"), MINUTES.format("crs_arr_time")
@@ -635,7 +634,7 @@ def category_encodings() -> str:
     rows = " UNION ALL ".join(
         f"SELECT '{name}' AS category, {value} AS level, delayed FROM train" for name, value in CATEGORIES.items()
     )
-    return sql(*BASE, f"train AS (SELECT * FROM facts WHERE completed AND month <= 7)",
+    return sql(*BASE, "train AS (SELECT * FROM facts WHERE completed AND month <= 7)",
                "overall AS (SELECT CAST(COUNT(*) FILTER (delayed) AS DOUBLE) / COUNT(*) AS o FROM train)",
                f"""SELECT category, level, COUNT(*) AS rows,
                  {r6('(COUNT(*) FILTER (delayed) + 20 * ANY_VALUE(o)) / (COUNT(*) + 20)', 9)} AS rate
@@ -644,7 +643,6 @@ def category_encodings() -> str:
 
 def oracle_sql() -> dict[str, str]:
     slot_base = [*BASE, *SCHEDULE]
-    weighted = "split, sample_count"  # noqa: F841
     metric_names = [
         "sample_count", "positive_count", "positive_percentage", "predicted_positive_count",
         "predicted_positive_percentage", "alert_count", "alert_coverage",

@@ -21,13 +21,13 @@ def running_totals(
     """Add ``running_<m>`` (this row included) and ``total_<m>`` for every measure.
 
     ``rows`` must hold one row per position of ``order`` inside each non-null ``by`` group.
-    The range-partitioned rows are stored before use: the slice number has to be the same in
-    both branches, on retries too.
+    The range-partitioned rows are stored with their slice number: it has to be the same in both
+    branches, on retries too.
     """
     by = by or []
     keys = [*[F.col(name) for name in by], *order]
     ranged = rows.repartitionByRange(*([slices] if slices else []), *keys)
-    sliced = materialize(ranged).withColumn("_slice", F.spark_partition_id())
+    sliced = materialize(ranged.withColumn("_slice", F.spark_partition_id()))
     per_slice = sliced.groupBy(*by, "_slice").agg(*[F.sum(m).alias(m) for m in measures])
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*by)

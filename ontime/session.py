@@ -35,11 +35,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(data: DataFrame) -> DataFrame:
-    """Compute a frame once and store it reliably, so that several readers share one scan.
+    """Compute a frame once and store it as a table in the shared folder.
 
     Used where a reduced table feeds several branches: column pruning would otherwise give every
-    branch its own aggregation of the fact table, and exchange reuse could not apply. The files
-    outlive executors, so a lost node costs a re-read and no recomputation.
+    branch its own aggregation of the fact table, and exchange reuse could not apply. The table
+    cuts the lineage and outlives executors, each branch reads only its columns, and the planner
+    knows its size.
     """
-    shared_folder(data.sparkSession)
-    return data.checkpoint()
+    spark = data.sparkSession
+    path = scratch_path(spark, "stored")
+    data.write.parquet(path)
+    return spark.read.schema(data.schema).parquet(path)
