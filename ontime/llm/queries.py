@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import chat, fingerprint, sharding, tokens, warc
+from ontime.llm import chat, fingerprint, parity, sharding, tokens, warc
 from ontime.session import materialize, scratch_path
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -32,6 +32,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.linked_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     slices = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     return fingerprint.edited_likeness(table(spark, sf_dir, "documents"), slices)
@@ -66,6 +70,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_token_counts": op3_token_counts,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_fingerprints": op7_fingerprints,
     "op9_sharding": op9_sharding,
     "op10_warc": op10_warc,
