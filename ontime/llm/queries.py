@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import chat, fingerprint, parity, sharding, tokens, warc
+from ontime.llm import (
+    chat, fingerprint, langid, mixing, nbsvm, parity, sharding, tiling, tokens, warc,
+)
 from ontime.session import materialize, scratch_path
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -28,10 +30,30 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.examples(given.unionByName(planted)))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents alone, one row per test item they hold."""
+    found = tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("n_tiles", F.size("tiles")).drop("tiles")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = nbsvm.train(documents, table(spark, sf_dir, "labels"))
+    return nbsvm.score(documents, model).select(
+        "doc_id", nbsvm.held_out().alias("held_out"), "score",
+        (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.predict(documents).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.linked_components(table(spark, sf_dir, "documents"), width=4, percent=85)
 
@@ -41,6 +63,24 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_likeness(table(spark, sf_dir, "documents"), slices)
 
 
+# Four domains by the number of the source; relative weights among siblings, 1 where none is given.
+DOMAIN = "coalesce('domain' || CAST(regexp_extract(source, '[0-9]+', 0) AS INT) % 4, 'domain')"
+WEIGHTS = {("domain0",): 4.0, ("domain1",): 3.0, ("domain2",): 2.0, ("domain0", "en"): 3.0}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.8, 4, 17
+
+
+def with_domain(documents: DataFrame) -> DataFrame:
+    return documents.withColumn("domain", F.expr(DOMAIN))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = with_domain(table(spark, sf_dir, "documents"))
+    plan = mixing.mix_plan(
+        documents, mixing.word_count(), share=MIX_SHARE, weights=WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED
+    )
+    return plan.select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "taken_tokens")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even map as version 1, the map evened out by bytes as version 2; rows follow the newest."""
     documents = table(spark, sf_dir, "documents")
@@ -69,9 +109,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_language_id": op5_language_id,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_fingerprints": op7_fingerprints,
+    "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_warc": op10_warc,
 }
