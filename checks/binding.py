@@ -16,33 +16,38 @@ FLIGHTS_SQL = """
 WITH k AS (
   SELECT CAST(l_orderkey*31 + l_partkey*17 + l_suppkey*13 + l_linenumber*7 + CAST(l_quantity AS BIGINT) AS BIGINT) AS flight_key,
          CAST(dayofyear(CAST(l_shipdate AS DATE)) - 1 AS INT) AS doy0,
-         l_suppkey, l_partkey
+         l_orderkey, l_suppkey, l_partkey, l_linenumber, l_quantity, l_shipdate
   FROM lineitem),
+u AS (
+  SELECT flight_key, doy0, l_suppkey, l_partkey,
+         flight_key * 1000 + row_number() OVER (PARTITION BY flight_key
+           ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate) AS row_key
+  FROM k),
 h AS (
   SELECT *, (flight_key * 48271) % 1000003 AS h1, (flight_key * 16807) % 1000003 AS h2,
          (flight_key * 7) % 1440 AS dep_min, 45 + flight_key % 300 AS elapsed,
          (l_partkey % 7 - 3) * 60 AS tz, l_suppkey % 30 AS o, (l_partkey + 1) % 30 AS d,
          CASE WHEN flight_key % 82 = 0 THEN 1 ELSE 0 END AS cancelled,
          CASE WHEN flight_key % 82 <> 0 AND flight_key % 239 = 1 THEN 1 ELSE 0 END AS diverted
-  FROM k),
+  FROM u),
 m AS (
   SELECT *, CAST(FLOOR(dep_min / 60) AS BIGINT) AS dep_hr,
          (dep_min + elapsed + tz + 1440) % 1440 AS arr_min,
-         CASE WHEN cancelled = 1 OR diverted = 1 THEN NULL
+         CASE WHEN cancelled = 1 OR diverted = 1 OR h2 % 233 = 13 THEN NULL
               ELSE h1 % 110 - 82 + CAST(FLOOR(dep_min / 60) AS BIGINT) + l_suppkey % 12
                    + CASE WHEN h1 % 97 = 0 THEN 300 ELSE 0 END END AS dly
   FROM h)
-SELECT flight_key,
+SELECT flight_key, row_key,
        2024 AS year, CAST(EXTRACT(MONTH FROM DATE '2024-01-01' + doy0) AS INT) AS month,
        CAST(EXTRACT(DAY FROM DATE '2024-01-01' + doy0) AS INT) AS day_of_month,
        doy0 % 7 + 1 AS day_of_week, DATE '2024-01-01' + doy0 AS fl_date,
-       'C' || CAST(l_suppkey % 12 AS STRING) AS op_unique_carrier,
+       CASE WHEN h2 % 211 <> 3 THEN 'C' || CAST(l_suppkey % 12 AS STRING) END AS op_unique_carrier,
        CAST(flight_key % 6000 + 1 AS INT) AS op_carrier_fl_num,
        'A' || CAST(o AS STRING) AS origin, 'S' || CAST(o % 10 AS STRING) AS origin_state_nm,
-       'A' || CAST(d AS STRING) AS dest,   'S' || CAST(d % 10 AS STRING) AS dest_state_nm,
-       CAST(CASE WHEN dep_min = 0 AND h1 % 2 = 0 THEN 2400 ELSE dep_hr * 100 + dep_min % 60 END AS INT) AS crs_dep_time,
+       CASE WHEN h2 % 223 <> 5 THEN 'A' || CAST(d AS STRING) END AS dest, 'S' || CAST(d % 10 AS STRING) AS dest_state_nm,
+       CAST(CASE WHEN h2 % 227 = 7 THEN NULL WHEN dep_min = 0 AND h1 % 2 = 0 THEN 2400 ELSE dep_hr * 100 + dep_min % 60 END AS INT) AS crs_dep_time,
        CAST(CAST(FLOOR(arr_min / 60) AS BIGINT) * 100 + arr_min % 60 AS INT) AS crs_arr_time,
-       CAST(elapsed AS DOUBLE) AS crs_elapsed_time, CAST(elapsed * 8 AS DOUBLE) AS distance,
+       CAST(CASE WHEN h2 % 229 = 11 THEN NULL WHEN h2 % 229 = 12 THEN 0 ELSE elapsed END AS DOUBLE) AS crs_elapsed_time, CAST(elapsed * 8 AS DOUBLE) AS distance,
        CAST(CASE WHEN cancelled = 1 THEN NULL ELSE COALESCE(dly, 0) + flight_key % 15 - 7 END AS DOUBLE) AS dep_delay,
        CAST(CASE WHEN cancelled = 1 THEN NULL ELSE 8 + h2 % 25 END AS DOUBLE) AS taxi_out,
        CAST(CASE WHEN cancelled = 1 THEN NULL ELSE 3 + h2 % 11 END AS DOUBLE) AS taxi_in,

@@ -7,7 +7,7 @@ feature table: none of the tricks of the Spark side are used here.
 from __future__ import annotations
 
 from checks import binding
-from checks.registry import EXACT_SAMPLE, EXPLORED, SAMPLE
+from checks.registry import EXACT_SAMPLE, EXPLORED, LARGE_SAMPLE, SAMPLE
 from ontime import schema
 
 MINUTES = "(({0} // 100) * 60 + {0} % 100) % 1440"
@@ -108,7 +108,7 @@ def study(completed: bool) -> str:
     if completed:
         where = "WHERE completed AND " + " AND ".join(
             f"{n} IS NOT NULL" for n in schema.STUDY_VARIABLES if "scheduled_" not in n
-        )
+        ) + " AND crs_dep_time IS NOT NULL AND crs_arr_time IS NOT NULL"
     return f"study AS (SELECT {columns} FROM facts {where})"
 
 
@@ -335,6 +335,11 @@ def daily_history_counts() -> str:
     return sql(*BASE, *[daily(level) for level in schema.HISTORY_LEVELS], rows)
 
 
+def exact_sample(size: int) -> str:
+    key = SAMPLE_KEY.replace("flight_key", "row_key")
+    return sql(FLIGHTS, f"SELECT * FROM flights ORDER BY {key}, row_key LIMIT {size}")
+
+
 SAMPLE_KEY = f"((flight_key % {schema.SAMPLE_MODULUS}) * {schema.SAMPLE_MULTIPLIER} + 42) % {schema.SAMPLE_MODULUS}"
 SPLIT = """CASE WHEN month <= 7 THEN 'train' WHEN month = 8 THEN 'tuning'
   WHEN month <= 10 THEN 'validation' ELSE 'test' END"""
@@ -696,8 +701,8 @@ def oracle_sql() -> dict[str, str]:
         "model_frame": model_frame(),
         "deterministic_sample": sql(*BASE, f"""SELECT flight_key, fl_date, origin, dest, CAST(delayed AS INTEGER) AS is_delayed
           FROM facts WHERE completed AND {SAMPLE_KEY} < {int(SAMPLE * schema.SAMPLE_MODULUS)}"""),
-        "exact_sample": sql(FLIGHTS, f"""SELECT flight_key, {SAMPLE_KEY} AS sample_key FROM flights
-          ORDER BY sample_key, flight_key LIMIT {EXACT_SAMPLE}"""),
+        "exact_sample": exact_sample(EXACT_SAMPLE),
+        "exact_sample_large": exact_sample(LARGE_SAMPLE),
         "temporal_split_summary": split_summary(),
         "history_defaults": sql(*FRAME, f"SELECT {defaults(schema.HISTORY_FEATURES)} FROM frame"),
         "schedule_defaults": sql(*FRAME, f"""SELECT {defaults(schema.SCHEDULE_FEATURES, None)},
@@ -713,13 +718,13 @@ def oracle_sql() -> dict[str, str]:
           ORDER BY flights DESC, delay_rate DESC, op_unique_carrier LIMIT 10"""),
         "explorer_status_counts": sql(*BASE, VIEW, "SELECT flight_status, COUNT(*) AS flights FROM explored GROUP BY flight_status"),
         "filter_options": sql(FLIGHTS, """SELECT DISTINCT 'op_unique_carrier' AS option, op_unique_carrier AS value FROM flights
-          UNION SELECT DISTINCT 'origin', origin FROM flights"""),
+          WHERE op_unique_carrier IS NOT NULL UNION SELECT DISTINCT 'origin', origin FROM flights WHERE origin IS NOT NULL"""),
         "delay_histogram": sql(*BASE, """SELECT CAST(LEAST(FLOOR((LEAST(GREATEST(arr_delay, -30), 180) + 30) / 5), 41) AS INTEGER) AS bin,
           CAST(LEAST(FLOOR((LEAST(GREATEST(arr_delay, -30), 180) + 30) / 5), 41) AS INTEGER) * 5 - 30 AS bin_start,
           COUNT(*) AS flights FROM facts WHERE completed GROUP BY 1, 2"""),
         "airport_state": sql(FLIGHTS, """SELECT airport, MIN(state) AS state FROM (
           SELECT origin AS airport, origin_state_nm AS state FROM flights UNION ALL
-          SELECT dest, dest_state_nm FROM flights) GROUP BY airport"""),
+          SELECT dest, dest_state_nm FROM flights) WHERE airport IS NOT NULL AND state IS NOT NULL GROUP BY airport"""),
         "request_features": request_features(),
         "request_validation": sql(FLIGHTS, REQUESTS, CHECKED, """SELECT flight_key, flight_date, op_unique_carrier, origin, dest,
           array_to_string(errors, '|') AS request_errors, len(errors) = 0 AS is_valid_request FROM checked"""),

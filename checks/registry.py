@@ -18,6 +18,7 @@ from ontime.sources import artifacts, sinks, tables
 EXPLORED = {"months": [6, 7, 8], "carriers": ["C1", "C2", "C3", "C5"], "origins": []}
 SAMPLE = 0.1
 EXACT_SAMPLE = 2000
+LARGE_SAMPLE = 40_000
 
 
 def rounded(data: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -161,9 +162,9 @@ def deterministic_sample(flights: DataFrame) -> DataFrame:
     )
 
 
-def exact_sample(flights: DataFrame) -> DataFrame:
-    keyed = flights.select("flight_key", sampling.congruence(F.col("flight_key"), 42).alias("sample_key"))
-    return sampling.sample_rows(keyed, EXACT_SAMPLE, order=F.struct("sample_key", "flight_key"))
+def exact_sample(size: int):
+    """Whole rows, along the congruence of the unique key."""
+    return over_flights(lambda flights: sampling.sample_rows(flights, size, key="row_key"))
 
 
 # --- profiles and requests -------------------------------------------------
@@ -458,7 +459,7 @@ def queries() -> dict:
     registered = {
         "overview": over_flights(metrics.overview),
         "status_distribution": over_flights(metrics.status_distribution),
-        "missing_values": over_flights(metrics.missing_values),
+        "missing_values": over_flights(lambda f: metrics.missing_values(f.drop("row_key"))),
         "punctuality_by_month": over_flights(lambda f: metrics.punctuality(f, "month")),
         "punctuality_by_carrier": over_flights(lambda f: metrics.punctuality(f, "op_unique_carrier")),
         "punctuality_by_origin": over_flights(lambda f: metrics.punctuality(f, "origin")),
@@ -492,7 +493,8 @@ def queries() -> dict:
         "schedule_features_joined": over_flights(schedule_joined),
         "model_frame": over_flights(model_frame),
         "deterministic_sample": over_flights(deterministic_sample),
-        "exact_sample": over_flights(exact_sample),
+        "exact_sample": exact_sample(EXACT_SAMPLE),
+        "exact_sample_large": exact_sample(LARGE_SAMPLE),
         "temporal_split_summary": over_flights(lambda f: sampling.split_summary(labelled(f))),
         "history_defaults": over_flights(history_defaults),
         "schedule_defaults": over_flights(schedule_defaults),

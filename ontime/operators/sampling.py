@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from ontime import schema
 from ontime.operators.ranks import running_totals
 
-# Above this size a sample is cut by rank, so that no single task receives all of it.
-TOP_K_ROWS = 1_000_000
+# Bits of a position that one histogram of the sample looks at.
+LEVEL_BITS = 12
 
 
 def congruence(key: Column, seed: int) -> Column:
@@ -28,50 +29,59 @@ def sample_fraction(data: DataFrame, fraction: float, seed: int = 42, key: str =
     return data.filter(congruence(F.col(key), seed) < threshold)
 
 
-def sample_rows(
-    data: DataFrame, size: int, seed: int = 42, order: Column | None = None,
-    top_k_rows: int = TOP_K_ROWS,
-) -> DataFrame:
-    """Exactly ``size`` rows (or all, if fewer), the first ones along a hash of the whole row.
+def sample_rows(data: DataFrame, size: int, seed: int = 42, key: str | None = None) -> DataFrame:
+    """Exactly ``size`` rows (or all, if fewer), whole and the same ones whatever the partitioning.
 
-    A hash depends on the row alone, where ``rand`` depends on how the rows are partitioned.
-    Pass ``order`` to sample along another non-null order. A small sample is a distributed top-k;
-    a larger one finds the position of the last row by rank and then only filters.
+    Rows are taken along a hash of the whole row or, with ``key``, along the congruence of an
+    integer column (null first), then along the key and the other columns. Two histograms of the
+    position, of a bounded number of rows each, find the slice in which the last row lies; all
+    slices before it are filtered, and that slice alone is ranked.
     """
     if size <= 0:
         raise ValueError("the sample size must be positive")
-    position = order if order is not None else F.xxhash64(*data.columns, F.lit(seed))
-    if size <= top_k_rows:
-        return data.orderBy(position).limit(size)
-    placed = data.withColumn("_position", position)
-    counts = placed.groupBy("_position").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, ["n"], [F.col("_position")])
-    before = F.col("running_n") - F.col("n")
-    last = ranked.filter((before < size) & (F.col("running_n") >= size)).select(
-        F.struct("_position", (F.lit(size) - before).alias("room"))
-    ).scalar()
-    whole = placed.filter(
-        last.isNull() | (F.col("_position") < last.getField("_position"))
-    ).drop("_position")
-    shared = placed.filter(F.col("_position") == last.getField("_position")).drop("_position")
-    return whole.unionByName(_first_copies(shared, last.getField("room")))
-
-
-def _first_copies(rows: DataFrame, room: Column) -> DataFrame:
-    """``room`` of the rows that share the last position: count equal rows, then repeat them."""
+    position, ties = F.xxhash64(*data.columns, F.lit(seed)), list(data.columns)
+    if key is not None:
+        position = F.shiftleft(F.coalesce(congruence(F.col(key), seed), F.lit(-1)), 63 - 20)
+        ties = [key, *[name for name in data.columns if name != key]]
+    first = F.shiftright(position, 64 - LEVEL_BITS)
+    second = F.shiftright(position, 64 - 2 * LEVEL_BITS).bitwiseAND((1 << LEVEL_BITS) - 1)
+    placed = data.withColumns({"_first": first, "_second": second})
+    outer = _last_slice(placed, "_first", size)
+    if outer is None:
+        return data
+    edge = placed.filter(F.col("_first") == outer.slice)
+    inner = _last_slice(edge, "_second", outer.room)
+    before = (F.col("_first") < outer.slice) | (
+        (F.col("_first") == outer.slice) & (F.col("_second") < inner.slice)
+    )
+    last = edge.filter(F.col("_second") == inner.slice).withColumn("_position", position)
+    chosen = _first_copies(last.drop("_first", "_second"), ["_position", *ties], inner.room)
+    return placed.filter(before).select(*data.columns).unionByName(chosen.select(*data.columns))
+
+
+def _last_slice(rows: DataFrame, name: str, size: int):
+    """The slice in which row number ``size`` lies, and how many rows it has to give."""
+    counts = rows.groupBy(F.col(name).alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy(F.lit(0)).orderBy("slice")
+    before = F.sum("n").over(order) - F.col("n")
+    return counts.withColumn("before", before).filter(
+        (F.col("before") < size) & (F.col("before") + F.col("n") >= size)
+    ).select("slice", (F.lit(size) - F.col("before")).alias("room")).first()
+
+
+def _first_copies(rows: DataFrame, order: list[str], room: int) -> DataFrame:
+    """The first ``room`` rows: equal rows are counted, ranked once and written out again."""
     copies = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    ranked = running_totals(copies, ["_copies"], [F.col(name) for name in rows.columns])
-    free = room - (F.col("running__copies") - F.col("_copies"))
-    batch = 1_000_000
+    ranked = running_totals(copies, ["_copies"], [F.col(name) for name in order])
+    free = F.lit(room) - (F.col("running__copies") - F.col("_copies"))
     taken = ranked.withColumn("_take", F.least(F.col("_copies"), free)).filter("_take > 0")
+    batch = 10_000
     batches = taken.select(
         *rows.columns, "_take",
         F.explode(F.sequence(F.lit(0), F.col("_take") - 1, F.lit(batch))).alias("_start"),
     )
-    in_batch = F.least(F.col("_take") - F.col("_start"), F.lit(batch)).cast("int")
-    return batches.repartition("_start").select(
-        *rows.columns, F.explode(F.array_repeat(F.lit(1), in_batch)).alias("_copy")
-    ).drop("_copy")
+    last = F.least(F.col("_take"), F.col("_start") + batch) - 1
+    return batches.select(*rows.columns, F.explode(F.sequence(F.col("_start"), last)).alias("_copy")).drop("_copy")
 
 
 SPLITS = ("train", "tuning", "validation", "test")

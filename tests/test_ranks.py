@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 import random
 
 import pytest
@@ -68,10 +69,21 @@ def test_curve_and_ranking_match_brute_force(spark):
 def test_large_samples_are_exact(spark, size):
     rows = [(i % 7, "hot") for i in range(300)] + [(i, "cold") for i in range(700)]
     data = spark.createDataFrame(rows, "k int, kind string")
-    small = sorted(map(tuple, sample_rows(data, size, 3).collect()))
-    large = sorted(map(tuple, sample_rows(data, size, 3, top_k_rows=0).collect()))
-    assert len(small) == min(size, 1000)
-    assert small == large
+    taken = sorted(map(tuple, sample_rows(data, size, 3).collect()))
+    other = sorted(map(tuple, sample_rows(data.repartition(5), size, 3).collect()))
+    assert len(taken) == min(size, 1000)
+    assert taken == other
+    assert not Counter(taken) - Counter(rows)
+
+
+@pytest.mark.parametrize("size", [1, 3, 50, 119, 120, 200])
+def test_samples_along_a_key(spark, size):
+    rows = [(None, i) for i in range(3)] + [(i % 50, i) for i in range(117)]
+    data = spark.createDataFrame(rows, "k long, v int")
+    place = lambda k: -1 if k is None else (k * 48_271 + 3) % 1_000_003
+    expected = sorted(rows, key=lambda r: (place(r[0]), r[0] or 0, r[1]))[:size]
+    found = sample_rows(data, size, 3, key="k").collect()
+    assert Counter(map(tuple, found)) == Counter(expected)
 
 
 def test_sample_size_must_be_positive(spark):
