@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,6 +18,7 @@ from ontime.session import materialize
 # Every feature that can be missing is a rate or a volume, hence never negative.
 MISSING_NUMBER = -1.0
 SMOOTHING = 20.0
+FOLDS = 5
 
 
 def encoded_name(category: str) -> str:
@@ -28,26 +28,49 @@ def encoded_name(category: str) -> str:
 INPUTS = [*schema.NUMERIC_FEATURES, *[encoded_name(name) for name in schema.CATEGORY_FEATURES]]
 
 
+def fold_of(key: str, folds: int = FOLDS) -> Column:
+    """Fold of a training row, from a hash of its key."""
+    return F.pmod(F.xxhash64(key), F.lit(folds)).cast("int")
+
+
 def category_encodings(
     frame: DataFrame, label: str = schema.TARGET_LABEL, smoothing: float = SMOOTHING,
-    categories: tuple[str, ...] = schema.CATEGORY_FEATURES,
+    categories: tuple[str, ...] = schema.CATEGORY_FEATURES, fold: Column | None = None,
+    folds: int = FOLDS,
 ) -> DataFrame:
-    """Smoothed delay rate of each level of each category: ``(category, level, rows, rate)``.
+    """Smoothed delay rate of each level: ``(category, level, rows, rate, fold_rates)``.
 
     One scan and one shuffle serve all categories. Rare levels are drawn towards the overall
-    rate, which is also what an unseen level receives.
+    rate, which is also what an unseen level receives. With ``fold``, ``fold_rates`` holds for each
+    fold the rate over all the others: a training row is encoded without its own label.
     """
+    fold = F.lit(0) if fold is None else fold
     counts = (
-        frame.select(F.col(label).cast("bigint").alias("_label"), *categories)
-        .unpivot(["_label"], list(categories), "category", "level")
+        frame.select(F.col(label).cast("bigint").alias("_label"), fold.alias("_fold"), *categories)
+        .unpivot(["_label", "_fold"], list(categories), "category", "level")
         .groupBy("category", "level")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum("_label").alias("delayed"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("_label").alias("delayed"),
+            F.array(*[F.count_if(F.col("_fold") == i) for i in range(folds)]).alias("fold_rows"),
+            F.array(*[F.sum(F.when(F.col("_fold") == i, F.col("_label")).otherwise(0)) for i in range(folds)]).alias("fold_delayed"),
+        )
     )
-    overall = counts.filter(F.col("category") == categories[0]).agg(
+    stored = materialize(counts)
+    overall = stored.filter(F.col("category") == categories[0]).agg(
         F.sum("delayed").cast("double") / F.sum("rows")
     ).scalar()
-    rate = (F.col("delayed") + F.lit(smoothing) * overall) / (F.col("rows") + F.lit(smoothing))
-    return counts.select("category", "level", "rows", rate.alias("rate"))
+
+    def rate(delayed: Column, rows: Column) -> Column:
+        return (delayed + F.lit(smoothing) * F.col("_overall")) / (rows + F.lit(smoothing))
+
+    others = F.transform(
+        F.arrays_zip("fold_rows", "fold_delayed"),
+        lambda own: rate(F.col("delayed") - own["fold_delayed"], F.col("rows") - own["fold_rows"]),
+    )
+    return stored.withColumn("_overall", overall).select(
+        "category", "level", "rows", rate(F.col("delayed"), F.col("rows")).alias("rate"),
+        others.alias("fold_rates"),
+    )
 
 
 def overall_rate(frame: DataFrame, label: str = schema.TARGET_LABEL) -> DataFrame:
@@ -55,20 +78,25 @@ def overall_rate(frame: DataFrame, label: str = schema.TARGET_LABEL) -> DataFram
 
 
 def encode(frame: DataFrame, encodings: DataFrame, prior: float | Column,
-           categories: tuple[str, ...] = schema.CATEGORY_FEATURES) -> DataFrame:
-    """Add the rate of each category; encodings with few enough levels are broadcast."""
+           categories: tuple[str, ...] = schema.CATEGORY_FEATURES, fold: Column | None = None) -> DataFrame:
+    """Add the rate of each category; encodings with few enough levels are broadcast.
+
+    ``fold`` is the fold of a training row and null for any other row, which gets the full rate.
+    """
     sizes = {row.category: row["count"] for row in encodings.groupBy("category").count().collect()}
     tables = []
     for name in categories:
         levels = encodings.filter(F.col("category") == name).select(
-            F.col("level").alias(name), F.col("rate").alias(encoded_name(name))
+            F.col("level").alias(name), F.struct("rate", "fold_rates").alias(encoded_name(name))
         )
         tables.append(FeatureTable(levels, (name,), sizes.get(name, 0)))
-    data = reduce(join_table, tables, frame)
+    data = frame.withColumn("_fold", F.lit(None).cast("int") if fold is None else fold)
+    data = reduce(join_table, tables, data)
     prior = prior if isinstance(prior, Column) else F.lit(float(prior))
     return data.withColumns({
-        encoded_name(name): F.coalesce(F.col(encoded_name(name)), prior) for name in categories
-    })
+        name: F.coalesce(F.get(F.col(name)["fold_rates"], F.col("_fold")), F.col(name)["rate"], prior)
+        for name in map(encoded_name, categories)
+    }).drop("_fold")
 
 
 def assemble(encoded: DataFrame) -> DataFrame:
@@ -82,13 +110,16 @@ def assemble(encoded: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Size and speed of the boosting; the defaults suit a first pass over a large table."""
+    """Size and speed of the boosting, and how many trees may pass without a better tuning loss."""
 
-    iterations: int = 20
-    depth: int = 5
-    learning_rate: float = 0.1
+    iterations: int = 600
+    depth: int = 8
+    learning_rate: float = 0.08
+    patience: int = 80
     seed: int = 42
-    tolerance: float = 1e-6
+    min_rows: int = 20  # in a leaf
+    subsample: float = 0.7  # of the rows, for each tree
+    columns: str = "onethird"  # of the features, for each split
 
 
 @dataclass
@@ -122,18 +153,38 @@ class DelayModel:
         )
 
 
-def _classifier(settings: TreeSettings, iterations: int, **more) -> GBTClassifier:
+def _classifier(settings: TreeSettings, iterations: int) -> GBTClassifier:
     return GBTClassifier(
         labelCol=schema.TARGET_LABEL, featuresCol="features", maxIter=iterations,
-        maxDepth=settings.depth, stepSize=settings.learning_rate, seed=settings.seed, **more,
+        maxDepth=settings.depth, stepSize=settings.learning_rate, seed=settings.seed,
+        minInstancesPerNode=settings.min_rows, subsamplingRate=settings.subsample,
+        featureSubsetStrategy=settings.columns,
     )
 
 
-def fit(frame: DataFrame, settings: TreeSettings = TreeSettings()) -> DelayModel:
-    """Fit on the training part, stop early on the tuning part, refit on both.
+def best_prefix(losses: list[float], patience: int) -> int:
+    """Trees up to the smallest loss, not looking further than ``patience`` trees without a better one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def _vectors(rows: DataFrame, encodings: DataFrame, prior: float, fold: Column | None) -> DataFrame:
+    return materialize(assemble(encode(rows, encodings, prior, fold=fold)).select(
+        "features", F.col(schema.TARGET_LABEL).cast("double").alias(schema.TARGET_LABEL)
+    ))
 
-    ``frame`` carries a ``split`` column; only ``train`` and ``tuning`` rows are used. The number
-    of trees kept by early stopping is the number of trees of the final model.
+
+def fit(frame: DataFrame, settings: TreeSettings = TreeSettings(), key: str = "flight_key") -> DelayModel:
+    """Fit on the training part, choose the number of trees on the tuning part, refit on both.
+
+    ``frame`` carries a ``split`` column; only ``train`` and ``tuning`` rows are used. Rows that a
+    model is fitted on get category rates of the other folds, all other rows the full rates. The
+    refit takes encodings of both parts and as many trees as gave the smallest tuning loss.
     """
     known = frame.filter(F.col("split").isin("train", "tuning"))
     is_train, late = F.col("split") == "train", F.col(schema.TARGET_LABEL) == 1
@@ -143,23 +194,17 @@ def fit(frame: DataFrame, settings: TreeSettings = TreeSettings()) -> DelayModel
     ).first()
     if not counts.train:
         raise ValueError("no training rows")
-    encodings = materialize(category_encodings(known.filter(is_train)))
-    prior = counts.train_late / counts.train
-    if counts.train_late in (0, counts.train):
-        return DelayModel(encodings, prior, None, float(counts.train_late > 0))
-    vectors = assemble(encode(known, encodings, prior)).select(
-        "features", F.col(schema.TARGET_LABEL).cast("double").alias(schema.TARGET_LABEL),
-        (~is_train).alias("is_tuning"),
-    )
+    fold = fold_of(key)
+    rows, delayed = counts.train + counts.tuning, counts.train_late + counts.tuning_late
+    encodings = materialize(category_encodings(known, fold=fold))
+    if delayed in (0, rows):
+        return DelayModel(encodings, delayed / rows, None, float(delayed > 0))
     trees = settings.iterations
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if 0 < counts.tuning_late < counts.tuning:
-            stopping = _classifier(
-                settings, trees, validationIndicatorCol="is_tuning",
-                validationTol=settings.tolerance,
-            )
-            trees = max(1, stopping.fit(vectors).getNumTrees)
-        return DelayModel(encodings, prior, _classifier(settings, trees).fit(vectors))
-    finally:
-        vectors.unpersist()
+    if 0 < counts.tuning_late < counts.tuning and 0 < counts.train_late < counts.train:
+        train = known.filter(is_train)
+        early, prior = materialize(category_encodings(train, fold=fold)), counts.train_late / counts.train
+        first = _classifier(settings, trees).fit(_vectors(train, early, prior, fold))
+        tuning = _vectors(known.filter(~is_train), early, prior, None)
+        trees = best_prefix(first.evaluateEachIteration(tuning), settings.patience)
+    prior = delayed / rows
+    return DelayModel(encodings, prior, _classifier(settings, trees).fit(_vectors(known, encodings, prior, fold)))

@@ -107,6 +107,7 @@ MIN_ALERTS = 500
 WILSON_Z = 1.959963984540054
 ARTIFACT_VERSION = 6
 TARGET_LABEL = "is_delayed"
+TARGET_DEFINITION = "completed and arr_delay > 0"
 
 # Deterministic sampling: multiplicative congruence over a key column.
 SAMPLE_MODULUS = 1_000_003
