@@ -7,7 +7,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ontime.llm.nbsvm import held_out
 from ontime.llm.words import mix
@@ -84,7 +85,8 @@ def train(documents: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.nda
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
                 sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 sums[lang] += np.bincount(grams(text), minlength=BUCKETS)
-        yield pd.DataFrame({"lang": list(sums), "counts": [c.tobytes() for c in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "counts": [c.tobytes() for c in sums.values()]})
 
     def add(key: tuple, part: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(BUCKETS, np.int64)
@@ -133,19 +135,21 @@ def predict(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
             out[i] = (names[k], float(s))
         return out
 
-    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            out, held, size = [], [], 0
-            for text in texts:
-                held.append(text)
-                size += len(text)
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, texts, size = [], [], 0
+            for text in batch.column("text").to_pylist():
+                texts.append(text or "")
+                size += len(texts[-1])
                 if size > PIECE:
-                    out += block(held)
-                    held, size = [], 0
-            out += block(held) if held else []
-            yield pd.DataFrame(out, columns=["lang_pred", "score"])
-
-    guess = F.pandas_udf(apply, "lang_pred string, score double")
-    return documents.drop("held_out", "lang_pred", "score").withColumn(
-        "_guess", guess(F.coalesce("text", F.lit("")))
-    ).select("*", held_out().alias("held_out"), F.col("_guess.lang_pred"), F.col("_guess.score")).drop("_guess")
+                    out += block(texts)
+                    texts, size = [], 0
+            out += block(texts)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([n for n, _ in out], pa.string()), pa.array([s for _, s in out], pa.float64())],
+                names=[*batch.schema.names, "lang_pred", "score"],
+            )
+
+    rows = documents.drop("held_out", "lang_pred", "score")
+    fields = [*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    return rows.mapInArrow(apply, T.StructType(fields)).withColumn("held_out", held_out())
