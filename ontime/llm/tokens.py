@@ -7,19 +7,28 @@ it cannot change the tokens that follow. Where the overlap has none, it is widen
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 CHUNK = 16_384  # code points per chunk
 OVERLAP = 256  # code points that neighbours share at first
 MARGIN = 32  # distance from the ends of a chunk; longer than any special string
-BATCH = 256  # texts encoded at once
+BATCH = 256  # texts handled at once
+MEMORY = 500_000  # words whose counts are remembered
+JOINED = 1000  # new words encoded at once
 SPACES = " \t\n\r"
+# Rules a pre-tokenizer must have for ``stable`` to be a proof.
+PRE_TOKENS = (r"[\p{L}]+", r"|[\p{N}]|", r"[^\s\p{L}\p{N}]+")
+# Symbols and the letters after them; the boundaries between such words are stable.
+WORDS = re.compile(r"\S*?[^\W\d_]+|\S+")
 
 
 def kind(char: str) -> str:
@@ -32,6 +41,12 @@ def kind(char: str) -> str:
     return major if major in "LN" else "O"
 
 
+UNSURE = re.compile("[" + "".join(
+    re.escape(chr(c)) for c in range(0x110000)
+    if unicodedata.category(chr(c))[0] == "M" or (chr(c).isspace() and chr(c) not in SPACES)
+) + "]")
+
+
 def stable(text: str, at: int) -> bool:
     """Whether pre-tokens end at ``at`` whatever surrounds it.
 
@@ -87,44 +102,78 @@ def count_long(text: str, encode, chunk: int = CHUNK, overlap: int = OVERLAP) ->
     return total + sum(s >= counted for s, _ in left)
 
 
-@lru_cache(maxsize=4)
-def tokenizer(name: str):
-    """The library's encoder of a public vocabulary file, loaded once in each worker."""
-    import public_tokenizers
-
-    path = public_tokenizers.path(name) if not os.path.isabs(name) else name
-    if path.endswith(".model"):
-        import sentencepiece
-
-        return sentencepiece.SentencePieceProcessor(model_file=path)
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Counter:
+    """Counts of one vocabulary file. Words met before are counted from memory.
 
-    loaded = Tokenizer.from_file(path)
-    loaded.no_truncation()
-    loaded.no_padding()
-    return loaded
-
-
-def count_texts(texts: list[str], vocabulary: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
-    """Tokens per text, without begin, end or added special tokens.
-
-    Pieces of a sentencepiece model cross white space, where boundaries are not proven by ``stable``;
-    with such a model every text is encoded whole.
+    Boundaries are proven for pre-tokenizers that keep runs of letters, single numbers and runs of
+    symbols and drop white space. With any other (and with sentencepiece models, whose pieces cross
+    white space) every text is encoded whole.
     """
-    library = tokenizer(vocabulary)
-    if vocabulary.endswith(".model"):
-        return [len(ids) for ids in library.encode(texts, num_threads=1)] if texts else []
-
-    def offsets(some: list[str]) -> list[list[tuple[int, int]]]:
-        return [e.offsets for e in library.encode_batch(some, add_special_tokens=False)]
-
-    short = [t for t in texts if len(t) <= chunk]
-    encoded = iter(
-        len(e) for i in range(0, len(short), BATCH)
-        for e in library.encode_batch_fast(short[i:i + BATCH], add_special_tokens=False)
-    )
-    return [next(encoded) if len(t) <= chunk else count_long(t, offsets, chunk, overlap) for t in texts]
+
+    def __init__(self, name: str):
+        import public_tokenizers
+
+        path = name if os.path.isabs(name) else public_tokenizers.path(name)
+        self.model, self.known, self.special = path.endswith(".model"), {}, ()
+        if self.model:
+            import sentencepiece
+
+            self.library, self.proven = sentencepiece.SentencePieceProcessor(model_file=path), False
+            return
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        parts = json.loads(self.library.to_str()).get("pre_tokenizer") or {}
+        splits = [p for p in parts.get("pretokenizers", [parts]) if p.get("type") == "Split"]
+        self.proven = [(p["behavior"], p["invert"]) for p in splits] == [("Removed", True)] and all(
+            rule in splits[0]["pattern"].get("Regex", "") for rule in PRE_TOKENS
+        )
+        self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
+
+    def offsets(self, texts: list[str]) -> list[list[tuple[int, int]]]:
+        return [e.offsets for e in self.library.encode_batch(texts, add_special_tokens=False)]
+
+    def whole(self, texts: list[str]) -> list[int]:
+        if self.model:
+            return [len(ids) for ids in self.library.encode(texts, num_threads=1)] if texts else []
+        return [
+            len(e) for i in range(0, len(texts), BATCH)
+            for e in self.library.encode_batch_fast(texts[i:i + BATCH], add_special_tokens=False)
+        ]
+
+    def by_words(self, texts: list[str]) -> list[int]:
+        """Counts of texts without unsure characters and special strings, from their words."""
+        found = [WORDS.findall(text) for text in texts]
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        new = list({word for words in found for word in words if word not in self.known})
+        for first in range(0, len(new), JOINED):
+            part = new[first:first + JOINED]
+            starts = np.cumsum([0, *[len(word) + 1 for word in part]])
+            begins = [begin for begin, _ in self.offsets([" ".join(part)])[0]]
+            place = np.searchsorted(starts, begins, side="right") - 1
+            self.known.update(zip(part, np.bincount(place, minlength=len(part)).tolist(), strict=True))
+        return [sum(map(self.known.__getitem__, words)) for words in found]
+
+    def count(self, texts: list[str], chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
+        """Tokens per text, without begin, end or added special tokens."""
+        if not self.proven:
+            return self.whole(texts)
+        plain = [
+            len(t) <= chunk and not UNSURE.search(t) and not any(s in t for s in self.special) for t in texts
+        ]
+        short = iter(self.by_words([t for t, easy in zip(texts, plain, strict=True) if easy]))
+        rest = iter(self.whole([t for t, easy in zip(texts, plain, strict=True) if not easy and len(t) <= chunk]))
+        return [
+            next(short) if easy else next(rest) if len(t) <= chunk else count_long(t, self.offsets, chunk, overlap)
+            for t, easy in zip(texts, plain, strict=True)
+        ]
+
+
+counter = lru_cache(maxsize=4)(Counter)  # loaded once in each worker
 
 
 def token_counts(
