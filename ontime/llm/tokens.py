@@ -189,7 +189,11 @@ def token_counts(
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            numbers = count_texts(batch["text"].tolist(), vocabulary, chunk, overlap)
+            texts = batch["text"].tolist()
+            numbers = [
+                n for i in range(0, len(texts), BATCH)
+                for n in counter(vocabulary).count(texts[i:i + BATCH], chunk, overlap)
+            ]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "n_bytes": batch["n_bytes"], "n_tokens": numbers,
             })
