@@ -173,7 +173,10 @@ class Counter:
         ]
 
 
-counter = lru_cache(maxsize=4)(Counter)  # loaded once in each worker
+@lru_cache(maxsize=4)
+def counter(name: str) -> Counter:
+    """The counter of a vocabulary file, loaded once in each worker."""
+    return Counter(name)
 
 
 def token_counts(
