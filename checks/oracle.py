@@ -402,6 +402,12 @@ REQUESTS = f"""requests AS (SELECT * REPLACE (UPPER(TRIM(op_unique_carrier)) AS
   FROM ({binding.REQUESTS_SQL}))"""
 
 
+# Numbers that cannot be read: 12.5 and text.
+REQUESTS_SPELT = REQUESTS.replace("requests AS (", "given AS (", 1) + """, requests AS (
+  SELECT * REPLACE (CASE WHEN flight_key % 10 IN (2, 3) THEN NULL ELSE op_carrier_fl_num END AS op_carrier_fl_num),
+         flight_key % 10 IN (2, 3) AS unread FROM given)"""
+
+
 def _request_rules() -> list[tuple[str, str]]:
     clock = "NOT ({0} = 2400 OR ({0} BETWEEN 0 AND 2359 AND {0} % 100 < 60))"
     rules = [(f"missing_field:{n}", f"{n} IS NULL") for n in schema.REQUEST_FIELDS]
@@ -646,6 +652,27 @@ def category_encodings() -> str:
                  FROM ({rows}), overall GROUP BY category, level""")
 
 
+REPORTS = {
+    "overview": ("overview", []), "flight_status": ("status_distribution", ["flight_status"]),
+    "missing_values": ("missing_values", ["column"]), "monthly_metrics": ("punctuality_by_month", ["month"]),
+    "carrier_metrics": ("punctuality_by_carrier", ["op_unique_carrier"]),
+    "origin_metrics": ("punctuality_by_origin", ["origin"]), "numeric_summary": ("numeric_summary", ["variable"]),
+    "correlations/matrix": ("correlation_matrix", ["variable_x", "variable_y"]),
+    "correlations/with_arrival_delay": ("correlation_with_delay", ["variable"]),
+}
+
+
+def report_sinks(texts: dict[str, str]) -> str:
+    parts = []
+    for name, (query, keys) in REPORTS.items():
+        key = "concat_ws('~', " + ", ".join(f'CAST("{k}" AS VARCHAR)' for k in keys) + ")" if keys else "''"
+        kept = "* EXCLUDE (" + ", ".join(f'"{k}"' for k in keys) + ")" if keys else "*"
+        parts.append(f"""SELECT '{name}' AS report, _key AS key, metric, value FROM (UNPIVOT (
+          SELECT {key} AS _key, ROUND(CAST(COLUMNS({kept}) AS DOUBLE), 4) + 0.0 FROM ({texts[query]}))
+          ON COLUMNS(* EXCLUDE (_key)) INTO NAME metric VALUE value)""")
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     slot_base = [*BASE, *SCHEDULE]
     metric_names = [
@@ -679,12 +706,34 @@ def oracle_sql() -> dict[str, str]:
         "parquet_roundtrip": sql(*validated(), """SELECT year, month, 'clean' AS part, COUNT(*) AS rows FROM validated
           WHERE len(errors) = 0 GROUP BY year, month UNION ALL
           SELECT NULL, NULL, 'rejected', COUNT(*) FROM validated WHERE len(errors) > 0"""),
-        "report_sinks": sql(*BASE, f"""SELECT month, COUNT(*) AS flight_count, {N_DONE} AS completed_flight_count,
-          {N_LATE} AS delayed_flight_count FROM facts GROUP BY month UNION ALL
-          SELECT NULL, COUNT(*), {N_DONE}, {N_LATE} FROM facts"""),
-        "request_json": sql(FLIGHTS, f"""SELECT flight_date, COUNT(*) AS requests,
-          COUNT(route_scheduled_flights_day) AS with_route_volume, SUM(crs_elapsed_time) AS planned_minutes
-          FROM ({binding.REQUESTS_SQL}) GROUP BY flight_date"""),
+        "request_json": sql(FLIGHTS, REQUESTS_SPELT, CHECKED, """SELECT flight_date, op_unique_carrier, op_carrier_fl_num, origin, dest,
+          crs_dep_time, crs_elapsed_time, distance, route_scheduled_flights_day,
+          array_to_string(list_concat(list_filter(errors, lambda e: NOT (unread AND e = 'missing_field:op_carrier_fl_num')),
+            CASE WHEN unread THEN ['invalid_number:op_carrier_fl_num'] ELSE [] END), '|') AS request_errors FROM checked"""),
+        "trained_scores": sql(*BASE, """SELECT flight_key, CASE WHEN month <= 10 THEN 'validation' ELSE 'test' END AS split,
+          CAST(delayed AS INTEGER) AS is_delayed, TRUE AS is_probability FROM facts WHERE completed AND month >= 9"""),
+        "model_contract": sql(*BASE, """SELECT 'rows:' || CASE WHEN month <= 7 THEN 'train' WHEN month = 8 THEN 'tuning'
+            WHEN month <= 10 THEN 'validation' ELSE 'test' END AS figure, CAST(COUNT(*) AS DOUBLE) AS value
+          FROM facts WHERE completed GROUP BY 1 UNION ALL SELECT 'features', 87.0::DOUBLE UNION ALL
+          SELECT 'importance', 100.0::DOUBLE UNION ALL SELECT 'better_than_chance', 1.0::DOUBLE"""),
+        "oof_encodings": sql(*BASE, f"""t AS (SELECT op_unique_carrier AS level, flight_key % 5 AS fold, delayed FROM facts
+            WHERE completed AND month <= 7 AND op_unique_carrier IS NOT NULL)""",
+          "o AS (SELECT CAST(COUNT(*) FILTER (delayed) AS DOUBLE) / COUNT(*) AS o FROM t)",
+          f"""SELECT level, CAST(f AS INTEGER) AS fold, {r6('(COUNT(*) FILTER (delayed AND fold <> f) + 20 * ANY_VALUE(o)) / (COUNT(*) FILTER (fold <> f) + 20)', 9)} AS rate
+          FROM t, o, range(5) AS folds(f) GROUP BY level, f"""),
+        "form_requests": sql(FLIGHTS, """SELECT row_key, CAST(fl_date AS VARCHAR) AS flight_date, CAST(month(fl_date) AS INTEGER) AS month,
+          CAST(day(fl_date) AS INTEGER) AS day_of_month, CAST(isodow(fl_date) AS INTEGER) AS day_of_week,
+          crs_dep_time, crs_arr_time FROM flights WHERE crs_dep_time IS NOT NULL"""),
+        "request_states": sql(FLIGHTS, REQUESTS, """s AS (SELECT airport, MIN(state) AS state FROM (
+            SELECT origin AS airport, origin_state_nm AS state FROM flights UNION ALL SELECT dest, dest_state_nm FROM flights)
+            WHERE airport IS NOT NULL AND state IS NOT NULL GROUP BY airport)""",
+          "r AS (SELECT * REPLACE (CASE WHEN flight_key % 37 = 0 THEN 'NOWHERE' ELSE dest END AS dest) FROM requests)",
+          """SELECT r.flight_key, r.flight_date, r.origin, r.dest, a.state AS origin_state_nm, b.state AS dest_state_nm,
+            concat_ws('|', CASE WHEN r.origin IS NOT NULL AND a.state IS NULL THEN 'origin_state_nm' END,
+              CASE WHEN r.dest IS NOT NULL AND b.state IS NULL THEN 'dest_state_nm' END) AS unknown_airports
+          FROM r LEFT JOIN s a ON a.airport = r.origin LEFT JOIN s b ON b.airport = r.dest"""),
+        "metrics_documents": sql(*BASE, """SELECT 'local' AS document, 'local' AS source, CAST(COUNT(*) FILTER (delayed) AS DOUBLE) AS value
+          FROM facts UNION ALL SELECT d, 'snapshot', 252517.0::DOUBLE FROM (VALUES ('stale'), ('foreign'), ('missing')) AS v(d)"""),
         "calendar_features": sql(*BASE, f"""SELECT flight_key, fl_date, month, day_of_week, {listed(CALENDAR)},
           {listed(CATEGORIES)} FROM facts"""),
         "arrival_day_offset": sql(*BASE, SLOTTED, f"""SELECT flight_key, fl_date, CAST({DEP} AS INTEGER) AS departure_minutes,
@@ -762,6 +811,7 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT split, 1, 1, true_positive FROM m"""),
         "category_encodings": category_encodings(),
     }
+    texts["report_sinks"] = report_sinks(texts)
     for level in schema.HISTORY_LEVELS:
         texts[f"rolling_{level}"] = sql(*BASE, *rolled(level), f"SELECT * FROM r_{level}")
         texts[f"history_profile_{level}"] = sql(*FRAME, *DEFAULTS, history_profile(level))

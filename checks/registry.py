@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import binding
@@ -11,7 +13,7 @@ from ontime.operators import (
     congestion, curve, evaluate, explorer, history, metrics, model, profiles, quality, requests,
     sampling,
 )
-from ontime.plans import dataset, evaluation
+from ontime.plans import analyze, dataset, evaluation, train
 from ontime.session import materialize, scratch_path
 from ontime.sources import artifacts, sinks, tables
 
@@ -47,11 +49,11 @@ def validated_rows(spark, sf_dir):
 
 
 def valid_rows(spark, sf_dir):
-    return quality.split_valid(materialize(validated(spark, sf_dir)))[0]
+    return quality.chosen_rows(validated(spark, sf_dir), True)
 
 
 def rejected_rows(spark, sf_dir):
-    rejected = quality.split_valid(materialize(validated(spark, sf_dir)))[1]
+    rejected = quality.chosen_rows(validated(spark, sf_dir), False)
     return joined(rejected, "validation_errors").select(
         "flight_key", "fl_date", "op_unique_carrier", "validation_errors"
     )
@@ -383,9 +385,37 @@ def trained(flights: DataFrame):
 
 
 def trained_scores(flights: DataFrame) -> DataFrame:
+    """Every validation and test flight once, with a probability between 0 and 1."""
     frame, fitted = trained(flights)
     scored = fitted.score(frame.filter(F.col("split").isin(*evaluation.EVALUATED)))
-    return scored.select("flight_key", "split", schema.TARGET_LABEL, "delay_probability")
+    usable = F.col("delay_probability").isNotNull() & F.col("delay_probability").between(0, 1)
+    return scored.select("flight_key", "split", schema.TARGET_LABEL, usable.alias("is_probability"))
+
+
+def model_contract(spark, sf_dir):
+    """Rows per part, what the importances add up to, and whether the model beats chance on the test."""
+    frame, fitted = trained(binding.flights(spark, sf_dir))
+    parts = frame.groupBy(F.concat(F.lit("rows:"), "split").alias("figure")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    weights = fitted.importances(spark).agg(
+        F.count(F.lit(1)).cast("double").alias("features"), F.round(F.sum("importance"), 6).alias("importance"),
+    ).unpivot([], ["features", "importance"], "figure", "value")
+    tested = evaluation.scored_rows(
+        fitted.score(frame.filter("split = 'test'")), schema.TARGET_LABEL, "delay_probability"
+    )
+    ranked = curve.ranking_metrics(curve.score_curve(tested, ["split"]), ["split"])
+    better = ranked.select(F.lit("better_than_chance").alias("figure"), (F.col("roc_auc") > 0.5).cast("double").alias("value"))
+    return parts.unionByName(weights).unionByName(better)
+
+
+def oof_encodings(flights: DataFrame) -> DataFrame:
+    """Rates of the carriers without each fold, the fold being the key modulo the number of folds."""
+    rows = labelled(flights).filter("month <= 7").select(
+        "op_unique_carrier", schema.TARGET_LABEL, F.pmod("flight_key", F.lit(model.FOLDS)).cast("int").alias("fold")
+    ).filter("op_unique_carrier is not null")
+    rates = model.category_encodings(rows, categories=("op_unique_carrier",), fold=F.col("fold"))
+    return rounded(
+        rates.select("level", F.posexplode("fold_rates").alias("fold", "rate")), "rate", digits=9
+    )
 
 
 def feature_importance(spark, sf_dir):
@@ -413,37 +443,91 @@ def parquet_roundtrip(spark, sf_dir):
 
 
 def report_sinks(spark, sf_dir):
-    """Write the monthly report as CSV and the overview as JSON, then read both back."""
-    flights, folder = binding.flights(spark, sf_dir), scratch_path(spark, "reports")
-    sinks.write_reports(
-        [
-            ("monthly", metrics.punctuality(flights, "month"), "csv"),
-            ("overview", metrics.overview(flights), "json"),
-        ],
-        folder, "errorifexists",
-    )
-    monthly = spark.read.option("header", True).schema(
-        metrics.punctuality(flights, "month").schema
-    ).csv(f"{folder}/monthly")
-    whole = spark.read.json(f"{folder}/overview")
-    names = ["flight_count", "completed_flight_count", "delayed_flight_count"]
-    return monthly.select("month", *names).unionByName(
-        whole.select(F.lit(None).cast("int").alias("month"), *names)
-    )
+    """Write all nine reports, read them back, and give their cells as (report, key, metric, value)."""
+    flights, folder = binding.flights(spark, sf_dir).drop("row_key"), scratch_path(spark, "reports")
+    made = analyze.reports(flights)
+    sinks.write_reports(made, folder, "errorifexists")
+    cells = None
+    for name, table, kind in made:
+        reader = spark.read.schema(table.schema)
+        read = reader.json(f"{folder}/{name}") if kind == "json" else reader.option("header", True).csv(f"{folder}/{name}")
+        keys = REPORT_KEYS[name]
+        values = [n for n in table.columns if n not in keys]
+        key = F.concat_ws("~", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("")
+        doubles = read.select(key.alias("key"), *[(F.round(F.col(n).cast("double"), 4) + 0.0).alias(n) for n in values])
+        part = doubles.unpivot(["key"], values, "metric", "value").filter("value is not null").select(
+            F.lit(name).alias("report"), "key", "metric", "value"
+        )
+        cells = part if cells is None else cells.unionByName(part)
+    return cells
+
+
+# Columns that name the rows of each report.
+REPORT_KEYS = {
+    "overview": [], "flight_status": ["flight_status"], "missing_values": ["column"], "monthly_metrics": ["month"],
+    "carrier_metrics": ["op_unique_carrier"], "origin_metrics": ["origin"], "numeric_summary": ["variable"],
+    "correlations/matrix": ["variable_x", "variable_y"], "correlations/with_arrival_delay": ["variable"],
+}
 
 
 def request_json(spark, sf_dir):
-    """Write the requests as JSON lines and read them back with the declared schema."""
+    """Requests with numbers in several spellings, written as JSON lines, read back and checked."""
     path = scratch_path(spark, "requests")
-    binding.requests(spark, sf_dir).drop("flight_key").write.json(path)
-    read = tables.read_requests(spark, path, multi_line=False)
-    return read.groupBy("flight_date").agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.count("route_scheduled_flights_day").alias("with_route_volume"),
-        F.sum("crs_elapsed_time").alias("planned_minutes"),
+    given = binding.requests(spark, sf_dir)
+    odd = F.col("flight_key") % 10
+    number = F.col("op_carrier_fl_num").cast("string")
+    spelt = F.when(odd == 1, F.concat(number, F.lit(".0"))).when(odd == 2, "12.5").when(odd == 3, "many").otherwise(number)
+    given.withColumns({"op_carrier_fl_num": spelt, "distance": F.col("distance").cast("string")}).drop("flight_key").write.json(path)
+    checked = requests.validate_requests(tables.read_requests(spark, path))
+    return joined(checked, "request_errors").select(
+        "flight_date", "op_unique_carrier", "op_carrier_fl_num", "origin", "dest", "crs_dep_time",
+        "crs_elapsed_time", "distance", "route_scheduled_flights_day", "request_errors",
+    )
+
+
+def form_requests(flights: DataFrame) -> DataFrame:
+    """Requests built from form fields."""
+    form = flights.filter("crs_dep_time is not null").select(
+        "row_key", F.col("fl_date").alias("flight_date"), *[
+            F.expr(f"CAST({name} {sign} 100 AS INT)").alias(alias)
+            for name, sign, alias in (
+                ("crs_dep_time", "DIV", "departure_hour"), ("crs_dep_time", "%", "departure_minute"),
+                ("crs_arr_time", "DIV", "arrival_hour"), ("crs_arr_time", "%", "arrival_minute"),
+            )
+        ],
+    )
+    return requests.from_form(form)
+
+
+def request_states(spark, sf_dir):
+    """States by airport, for requests some of which name an unknown one."""
+    given = binding.requests(spark, sf_dir).withColumn(
+        "dest", F.when(F.col("flight_key") % 37 == 0, "NOWHERE").otherwise(F.col("dest"))
+    )
+    found = requests.with_states(given, explorer.airport_states(binding.flights(spark, sf_dir)))
+    return joined(found, "unknown_airports").select(
+        *REQUEST_KEYS, "origin", "dest", "origin_state_nm", "dest_state_nm", "unknown_airports"
     )
 
 
+def metrics_documents(spark, sf_dir):
+    """Delayed flights by document: one of this table, the same as another version, and none at all."""
+    flights = labelled(binding.flights(spark, sf_dir))
+    tested = evaluation.evaluate_scores(materialize(flight_scores(binding.flights(spark, sf_dir))))
+    document, folder = materialize(train.metrics_document(flights, tested)), scratch_path(spark, "metrics")
+    version = F.when(F.col("metric") == "artifact_version", F.col("value") + 1).otherwise(F.col("value"))
+    target = F.when(F.col("metric") == "label", "another").otherwise(F.col("text"))
+    for name, data in (
+        ("local", document), ("stale", document.withColumn("value", version)), ("foreign", document.withColumn("text", target)),
+    ):
+        sinks.write_report(data, f"{folder}/{name}", kind="json")
+    cases = [
+        artifacts.load_metrics(spark, f"{folder}/{name}").filter("section = 'data.all' and metric = 'delayed_count'")
+        .select(F.lit(name).alias("document"), "source", "value") for name in ("local", "stale", "foreign", "missing")
+    ]
+    return reduce(DataFrame.unionByName, cases)
+
+
 def explored(flights: DataFrame) -> DataFrame:
     return explorer.filter_flights(explorer.explorer_view(flights), **EXPLORED)
 
@@ -529,6 +613,11 @@ def queries() -> dict:
         "category_encodings": over_flights(category_encodings),
         "trained_scores": over_flights(trained_scores),
         "feature_importance": feature_importance,
+        "model_contract": model_contract,
+        "oof_encodings": over_flights(oof_encodings),
+        "form_requests": over_flights(form_requests),
+        "request_states": request_states,
+        "metrics_documents": metrics_documents,
         "parquet_roundtrip": parquet_roundtrip,
         "report_sinks": report_sinks,
     }

@@ -54,8 +54,8 @@ def indicators(view: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("flight_count"),
         F.count_if("is_completed").alias("completed_count"),
         F.count_if("is_delayed").alias("delayed_count"),
-        F.count_if(outcome.cancelled() == 1).alias("cancelled_count"),
-        F.count_if(outcome.diverted() == 1).alias("diverted_count"),
+        F.count_if(F.col("cancelled") == 1).alias("cancelled_count"),
+        F.count_if(F.col("diverted") == 1).alias("diverted_count"),
     )
     rate = ratio_or_zero(F.col("delayed_count"), F.col("completed_count"))
     return counts.withColumn("delay_rate", rate)
@@ -89,7 +89,7 @@ def status_counts(view: DataFrame) -> DataFrame:
 def delay_histogram(view: DataFrame) -> DataFrame:
     """Completed flights per five-minute bin of the delay clipped to [-30, 180]; 42 bins."""
     bins = (DELAY_CEILING - DELAY_FLOOR) // DELAY_BIN
-    shown = F.least(F.greatest(outcome.delay(), F.lit(float(DELAY_FLOOR))), F.lit(float(DELAY_CEILING)))
+    shown = F.least(F.greatest(F.col("arr_delay"), F.lit(float(DELAY_FLOOR))), F.lit(float(DELAY_CEILING)))
     slot = F.least(F.floor((shown - DELAY_FLOOR) / DELAY_BIN), F.lit(bins - 1)).cast("int")
     return (
         view.filter("is_completed").groupBy(slot.alias("bin"))

@@ -17,12 +17,12 @@ def overview(flights: DataFrame) -> DataFrame:
     percentiles both come from that small table.
     """
     flown = outcome.is_completed()
-    by_delay = flights.groupBy(F.when(flown, outcome.delay()).alias("delay")).agg(
+    by_delay = flights.groupBy(F.when(flown, F.col("arr_delay")).alias("delay")).agg(
         F.count(F.lit(1)).alias("flights"),
         F.count_if(flown).alias("completed"),
         F.count_if(outcome.is_delayed()).alias("delayed"),
-        F.count_if(outcome.cancelled() == 1).alias("cancelled"),
-        F.count_if(outcome.diverted() == 1).alias("diverted"),
+        F.count_if(F.col("cancelled") == 1).alias("cancelled"),
+        F.count_if(F.col("diverted") == 1).alias("diverted"),
         F.sum("dep_delay").alias("departure_delay"),
         F.count("dep_delay").alias("departures"),
     )
@@ -90,8 +90,8 @@ def punctuality(flights: DataFrame, dimension: str) -> DataFrame:
         F.count(F.lit(1)).alias("flight_count"),
         F.count_if(flown).alias("completed_flight_count"),
         F.count_if(outcome.is_delayed()).alias("delayed_flight_count"),
-        F.count_if(outcome.cancelled() == 1).alias("cancelled_flight_count"),
-        F.avg(F.when(flown, outcome.delay())).alias("average_arrival_delay_minutes"),
+        F.count_if(F.col("cancelled") == 1).alias("cancelled_flight_count"),
+        F.avg(F.when(flown, F.col("arr_delay"))).alias("average_arrival_delay_minutes"),
         F.avg("dep_delay").alias("average_departure_delay_minutes"),
     )
     return counts.select(

@@ -30,6 +30,25 @@ def from_form(form: DataFrame) -> DataFrame:
     }).drop(*parts)
 
 
+STATES_ROWS = 100_000  # airports that a broadcast may hold
+
+
+def with_states(requests: DataFrame, airport_states: DataFrame) -> DataFrame:
+    """Requests with the states of their airports, from ``(airport, state)`` rows.
+
+    An airport that is not listed leaves the state null and is named, as the field of its state, in
+    ``unknown_airports``. The list is broadcast where it is small.
+    """
+    listed = F.broadcast(airport_states) if airport_states.count() <= STATES_ROWS else airport_states
+    fields = {"origin": "origin_state_nm", "dest": "dest_state_nm"}
+    data = requests.drop(*fields.values())
+    for end, field in fields.items():
+        states = listed.select(F.col("airport").alias("_airport"), F.col("state").alias(field))
+        data = data.join(states, text.code(F.col(end)) == F.col("_airport"), "left").drop("_airport")
+    unknown = [F.when(F.col(end).isNotNull() & F.col(field).isNull(), F.lit(field)) for end, field in fields.items()]
+    return data.withColumn("unknown_airports", F.array_compact(F.array(*unknown)))
+
+
 def normalise(requests: DataFrame) -> DataFrame:
     """Upper-case trimmed codes, a parsed date and every optional volume as a column."""
     codes = {n: text.code(F.col(n)) for n in ("op_unique_carrier", "origin", "dest")}
@@ -76,7 +95,14 @@ def request_rules() -> list[Rule]:
 
 def validate_requests(requests: DataFrame) -> DataFrame:
     """Normalised requests with ``request_errors`` and ``is_valid_request``."""
-    checked = normalise(requests).withColumn("request_errors", failed_rules(request_rules()))
+    errors = failed_rules(request_rules())
+    for column, code, replaced in (
+        ("invalid_numbers", "invalid_number", "missing_field"), ("unknown_airports", "unknown_airport", "missing_field"),
+    ):
+        if column in requests.columns:
+            named = lambda prefix, c=column: F.transform(c, lambda n: F.concat(F.lit(f"{prefix}:"), n))
+            errors = F.concat(F.array_except(errors, named(replaced)), named(code))
+    checked = normalise(requests).withColumn("request_errors", errors)
     return checked.withColumn("is_valid_request", F.size("request_errors") == 0)
 
 

@@ -81,7 +81,7 @@ def load_metrics(spark: SparkSession, path: str | None) -> DataFrame:
     A document of another version or target, or without the test section or the gate, is
     refused as a whole: the published snapshot takes its place. So does a missing path.
     """
-    known = spark.createDataFrame(snapshot.metric_rows(), METRIC_SCHEMA).withColumn(
+    known = spark.createDataFrame(list(snapshot.METRICS), METRIC_SCHEMA).withColumn(
         "source", F.lit("snapshot")
     )
     document = _read_or_none(lambda: spark.read.schema(METRIC_SCHEMA).json(path)) if path else None
@@ -103,7 +103,7 @@ def load_metrics(spark: SparkSession, path: str | None) -> DataFrame:
 
 def load_importances(spark: SparkSession, path: str | None) -> DataFrame:
     """Feature importances, or the published selection when the file is missing or stale."""
-    known = spark.createDataFrame(snapshot.importance_rows(), IMPORTANCE_SCHEMA).withColumn(
+    known = spark.createDataFrame(list(snapshot.IMPORTANCES), IMPORTANCE_SCHEMA).withColumn(
         "source", F.lit("snapshot")
     )
     table = (

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ontime import schema
+from ontime.functions import text
 
 
 def read_flights_csv(
@@ -33,6 +34,18 @@ def read_flights(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_requests(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Requests as JSON: one object or array per file, or one object per line."""
-    return spark.read.schema(schema.request_schema()).option("multiLine", multi_line).json(path)
+def read_requests(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Requests as JSON lines, or with ``multi_line`` one object or array per file.
+
+    Numbers may be written as ``100``, ``100.0`` or ``"100"``. What cannot be read as the number
+    its field asks for is null and named in ``invalid_numbers``.
+    """
+    wanted = schema.request_schema()
+    numbers = {f.name: f.dataType for f in wanted if f.dataType != T.StringType()}
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
+    raw = spark.read.schema(as_text).option("multiLine", multi_line).json(path)
+    readers = {T.IntegerType(): text.to_integer, T.DoubleType(): text.to_float}
+    written = {name: text.clean_text(F.col(name)) for name in numbers}
+    read = {name: readers[kind](written[name]) for name, kind in numbers.items()}
+    unread = [F.when(written[n].isNotNull() & read[n].isNull(), F.lit(n)) for n in numbers]
+    return raw.withColumns({**read, "invalid_numbers": F.array_compact(F.array(*unread))})

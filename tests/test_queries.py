@@ -8,7 +8,7 @@ from checks.compare import connect, difference
 from checks.oracle import oracle_sql
 from checks.registry import queries
 
-WITHOUT_SQL = {"trained_scores", "feature_importance"}
+WITHOUT_SQL = {"feature_importance"}
 
 
 @pytest.fixture(scope="module")
@@ -26,10 +26,9 @@ def test_query_matches_sql(spark, sf_dir, database, name):
     assert difference(queries()[name](spark, sf_dir), database, oracle_sql()[name]) is None
 
 
-def test_trained_scores_are_probabilities(spark, sf_dir):
-    rows = queries()["trained_scores"](spark, sf_dir).collect()
-    assert rows and all(0.0 <= row.delay_probability <= 1.0 for row in rows)
-    assert {row.split for row in rows} == {"validation", "test"}
+def test_importances_are_shares(spark, sf_dir):
+    rows = queries()["feature_importance"](spark, sf_dir).collect()
+    assert len(rows) == 15 and all(0.0 <= row.importance <= 100.0 for row in rows)
 
 
 def test_entry_runs(spark):

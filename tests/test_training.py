@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import binding
 from ontime import schema
-from ontime.operators.model import TreeSettings, category_encodings, fit
+from ontime.operators.model import TreeSettings, best_prefix, category_encodings, fit
 from ontime.plans import score, train
 from ontime.session import scratch_path
 from ontime.sources import artifacts, tables
@@ -84,13 +84,30 @@ def test_single_class_gives_a_constant(spark):
     names = [n for n in schema.FEATURES if n not in schema.CATEGORY_FEATURES]
     frame = spark.range(20).select(
         *[F.lit(1.0).alias(n) for n in names], *[F.lit("x").alias(n) for n in schema.CATEGORY_FEATURES],
-        F.lit(1).alias(schema.TARGET_LABEL), F.lit("train").alias("split"),
+        F.lit(1).alias(schema.TARGET_LABEL), F.lit("train").alias("split"), F.col("id").alias("flight_key"),
     )
     model = fit(frame)
     assert model.trees is None
     assert {r.delay_probability for r in model.score(frame).collect()} == {1.0}
 
 
+def test_training_rows_do_not_see_their_own_label(spark):
+    """A level of one row per fold gets the overall rate from the other folds alone."""
+    rows = [(f"only{i}", i % 2, i % 5) for i in range(50)]
+    data = spark.createDataFrame(rows, "k string, y int, f int")
+    rates = category_encodings(data, "y", 20.0, ("k",), fold=F.col("f"))
+    for row in rates.collect():
+        i = int(row.level[4:])
+        assert row.fold_rates[i % 5] == pytest.approx(0.5)
+        assert row.rate == pytest.approx((i % 2 + 10) / 21)
+
+
+def test_best_prefix_waits_with_patience():
+    assert best_prefix([0.9, 0.8, 0.85, 0.7, 0.75], 2) == 4
+    assert best_prefix([0.9, 0.8, 0.85, 0.86, 0.1], 2) == 2
+    assert best_prefix([0.9], 5) == 1
+
+
 def test_encodings_shrink_rare_levels(spark):
     rows = [("a", 1)] * 100 + [("b", 0)] * 99 + [("c", 1)]
     data = spark.createDataFrame(rows, "k string, y int")
