@@ -41,10 +41,9 @@ def kind(char: str) -> str:
     return major if major in "LN" else "O"
 
 
-UNSURE = re.compile("[" + "".join(
-    re.escape(chr(c)) for c in range(0x110000)
-    if unicodedata.category(chr(c))[0] == "M" or (chr(c).isspace() and chr(c) not in SPACES)
-) + "]")
+UNSURE = frozenset(
+    c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] == "M" or (c.isspace() and c not in SPACES)
+)
 
 
 def stable(text: str, at: int) -> bool:
@@ -163,7 +162,7 @@ class Counter:
         if not self.proven:
             return self.whole(texts)
         plain = [
-            len(t) <= chunk and not UNSURE.search(t) and not any(s in t for s in self.special) for t in texts
+            len(t) <= chunk and UNSURE.isdisjoint(t) and not any(s in t for s in self.special) for t in texts
         ]
         short = iter(self.by_words([t for t, easy in zip(texts, plain, strict=True) if easy]))
         rest = iter(self.whole([t for t, easy in zip(texts, plain, strict=True) if not easy and len(t) <= chunk]))
