@@ -1,8 +1,9 @@
 """Exact token counts of whole texts, huge ones by overlapping chunks.
 
-A text longer than one chunk is encoded chunk by chunk with offsets. Neighbouring chunks overlap;
-the splice is put at a boundary that both encodings have and that is proven stable: what precedes
-it cannot change the tokens that follow. Where the overlap has none, it is widened.
+A text longer than one chunk is cut into chunks that overlap. The overlap is encoded from either
+side with offsets, and the splice is put at a boundary that both encodings have and that is proven
+stable: what precedes it cannot change the tokens that follow. Where there is none, the overlap is
+widened.
 """
 
 from __future__ import annotations
@@ -31,19 +32,22 @@ PRE_TOKENS = (r"[\p{L}]+", r"|[\p{N}]|", r"[^\s\p{L}\p{N}]+")
 WORDS = re.compile(r"\S*?[^\W\d_]+|\S+")
 
 
+def unsure(char: str) -> bool:
+    """Whether a character may join its neighbour or become several, or is white space to some only."""
+    odd_space = char.isspace() and char not in SPACES
+    several = len(unicodedata.normalize("NFC", char).lower()) > 1
+    return odd_space or several or unicodedata.category(char)[0] == "M"
+
+
+UNSURE = frozenset(filter(unsure, map(chr, range(0x110000))))
+
+
 def kind(char: str) -> str:
     """W for plain white space, L, N or O as pre-tokenizers class characters, ? where unsure."""
     if char in SPACES:
         return "W"
     major = unicodedata.category(char)[0]
-    if major == "M" or char.isspace():
-        return "?"  # may join its neighbour, or is white space to some libraries only
-    return major if major in "LN" else "O"
-
-
-UNSURE = frozenset(
-    c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] == "M" or (c.isspace() and c not in SPACES)
-)
+    return "?" if char in UNSURE else major if major in "LN" else "O"
 
 
 def stable(text: str, at: int) -> bool:
@@ -75,30 +79,31 @@ def splice(text: str, left: list[tuple[int, int]], right: list[tuple[int, int]],
     return None
 
 
-def count_long(text: str, encode, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of a text; ``encode`` maps a list of texts to lists of token offsets."""
+def cuts(text: str, encode, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
+    """Places, 0 and the length included, where the tokens of a text can be cut.
+
+    Around the end of a chunk its tail and the head of the next one are encoded with offsets. Both
+    cover the overlap; the cut is a proven boundary that both have there, and the overlap is
+    widened until there is one. Where the chunk has none, it grows into the next.
+    """
 
     def tokens(a: int, b: int) -> list[tuple[int, int]]:
         return [(a + s, a + e) for s, e in encode([text[a:b]])[0]]
 
-    total, begin, end = 0, 0, min(len(text), chunk)
-    left, counted = tokens(0, end), 0  # tokens that begin before ``counted`` are in ``total``
-    while end < len(text):
-        stop, shared = min(len(text), end + chunk), overlap
-        while True:
-            back = max(begin, end - shared)
-            right = tokens(back, stop)
-            low = back + MARGIN if back > begin else counted
-            at = splice(text, left, right, max(low, counted, 1), end - MARGIN)
-            if at is not None:
-                total += sum(counted <= s < at for s, _ in left)
-                counted, begin = at, back
-                break
-            if back == begin:  # the chunks have grown into one
+    places = [0]
+    for end in range(chunk, len(text), chunk):
+        shared, at = overlap, None
+        while at is None:
+            tail, head = max(places[-1], end - 2 * shared), max(places[-1], end - shared)
+            left, right = tokens(tail, end), tokens(head, min(len(text), end + shared))
+            low = head + MARGIN if head > places[-1] else places[-1] + 1
+            at = splice(text, left, right, low, end - MARGIN)
+            if at is None and head == places[-1]:
                 break
             shared *= 2
-        left, end = right, stop
-    return total + sum(s >= counted for s, _ in left)
+        if at is not None:
+            places.append(at)
+    return [*places, len(text)]
 
 
 class Counter:
@@ -161,15 +166,18 @@ class Counter:
         """Tokens per text, without begin, end or added special tokens."""
         if not self.proven:
             return self.whole(texts)
-        plain = [
-            len(t) <= chunk and UNSURE.isdisjoint(t) and not any(s in t for s in self.special) for t in texts
-        ]
-        short = iter(self.by_words([t for t, easy in zip(texts, plain, strict=True) if easy]))
-        rest = iter(self.whole([t for t, easy in zip(texts, plain, strict=True) if not easy and len(t) <= chunk]))
-        return [
-            next(short) if easy else next(rest) if len(t) <= chunk else count_long(t, self.offsets, chunk, overlap)
-            for t, easy in zip(texts, plain, strict=True)
-        ]
+        parts, owner = [], []
+        for i, text in enumerate(texts):
+            places = cuts(text, self.offsets, chunk, overlap) if len(text) > chunk else [0, len(text)]
+            parts += [text[a:b] for a, b in zip(places, places[1:])]
+            owner += [i] * (len(places) - 1)
+        plain = [UNSURE.isdisjoint(t) and not any(s in t for s in self.special) for t in parts]
+        easy = iter(self.by_words([t for t, simple in zip(parts, plain, strict=True) if simple]))
+        rest = iter(self.whole([t for t, simple in zip(parts, plain, strict=True) if not simple]))
+        totals = [0] * len(texts)
+        for i, simple in zip(owner, plain, strict=True):
+            totals[i] += next(easy) if simple else next(rest)
+        return totals
 
 
 @lru_cache(maxsize=4)
