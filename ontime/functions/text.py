@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from ontime import schema
 
 # Accepted spellings of numbers.
-INTEGER_PATTERN = r"^[+-]?\d+(\.0+)?$"
+INTEGER_PATTERN = r"^[+-]?\d+(?:\.0+)?$"
 FLOAT_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 DATE_FORMAT = "yyyy-MM-dd"
 

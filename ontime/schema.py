@@ -37,7 +37,7 @@ OPTIONAL_COLUMNS = (
 
 CORRUPT_COLUMN = "_corrupt_record"
 
-# Variables of the correlation study, and those of them known before departure.
+# Variables of the correlation study, and those of them known before departure.
 PLANNED_VARIABLES = (
     "month", "day_of_month", "day_of_week", "scheduled_departure_minutes",
     "scheduled_arrival_minutes", "crs_elapsed_time", "distance",
@@ -114,7 +114,7 @@ SAMPLE_MODULUS = 1_000_003
 SAMPLE_MULTIPLIER = 48_271
 DEFAULT_SAMPLE_ROWS = 10_000
 
-# Values shown to readers of the explorer and of the scoring output.
+# Texts shown to readers of the explorer and of the scoring output.
 MONTH_LABELS = (
     "Janvier", "Février", "Mars", "Avril", "Mai", "Juin", "Juillet", "Août", "Septembre",
     "Octobre", "Novembre", "Décembre",
@@ -124,6 +124,7 @@ STATUS_DIVERTED = "Dérouté"
 STATUS_LATE = "Arrivé en retard"
 STATUS_ON_TIME = "À l'heure ou en avance"
 
+# Messages of the gates and of the threshold choice.
 GATE_MESSAGES = {
     "minimum_precision_lower_bound_95":
         "La borne basse à 95 % de la précision est inférieure à 50 %.",
