@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from ontime.llm.components import components
 from ontime.llm.words import WordHashes, mix, shingles
@@ -23,10 +24,10 @@ from ontime.session import materialize
 
 BAND = 1.5  # ratio of the sizes in a band
 WIDTH = 2 ** 24  # bits of a block
-COMMON = 100  # documents from which a block counts as common
-BROADCAST_IDS = 1_000_000  # ids of 8 bytes that a broadcast may hold
+COMMON = 50  # documents from which a block counts as common
+BROADCAST_ROWS = 500_000  # rows of a few numbers that a broadcast may hold
+PARTNERS = 500  # sets compared with one set in a task
 ROWS = 500  # texts turned into output rows at once
-ARROW = (pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.int32(), pa.int32())
 
 
 def word_list(text: str) -> list[bytes]:
@@ -88,85 +89,165 @@ def band_of(size: int) -> int:
     return band
 
 
-SIGNED = (
-    "doc_id long, n_shingles long, set_id binary, first boolean, band int, spare int, keys array<long>"
+TEXT, LONE, HEAD, MEMBER = KINDS_OF_ROWS = range(4)
+KINDS = len(KINDS_OF_ROWS)
+ABOUT = pa.struct([
+    ("spare", pa.int32()), ("first", pa.bool_()), ("size", pa.int64()), ("set_id", pa.binary()),
+])
+SIGNED = pa.schema([
+    ("place", pa.int64()), ("doc", pa.int64()), ("tag", pa.int32()), ("key", pa.int64()), ("about", ABOUT),
+])
+SIGNED_SQL = (
+    "place long, doc long, tag int, key long, about struct<spare:int, first:boolean, size:long, set_id:binary>"
 )
 
 
-def signatures(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """The keys of every document in each of its layouts, one row per layout.
+class Signer:
+    """Turns a batch of texts into rows of a few kinds.
 
-    A document has the layout of the band of its size, and those of further bands in which a
-    larger partner may be. The row of the first layout has ``first``; texts without words have only
-    that one, without set_id, band and keys.
+    TEXT: doc, size, set_id, and band and spare of one layout; ``first`` for the layout of its own
+    size, the others are of bands in which a larger partner may be. Texts without words have one
+    such row without set_id and spare. LONE: a key (in ``place``) and the only text of the batch
+    that has it. HEAD: the same where there are more, each of which is a MEMBER with that key.
+    Of equal sets in a batch only the first has keys. ``place`` deals rows out evenly, since a key
+    has one HEAD per batch however many texts share it.
     """
-    known: dict[int, Layout] = {}
-
-    def layout(band: int) -> Layout:
-        if band not in known:
-            known[band] = Layout(band, percent)
-        return known[band]
 
-    def rows_of(doc_id: int, elements: np.ndarray) -> Iterator[tuple]:
-        size = len(elements)
-        if not size:
-            yield doc_id, 0, None, True, None, None, np.zeros(0, np.int64)
+    def __init__(self, width: int, percent: int):
+        self.width, self.percent = width, percent
+        self.layouts: dict[int, Layout] = {}
+        self.hashes = WordHashes()
+
+    def layout(self, band: int) -> Layout:
+        if band not in self.layouts:
+            self.layouts[band] = Layout(band, self.percent)
+        return self.layouts[band]
+
+    def batch(self, docs: list[int], texts: list[str]) -> Iterator[pa.RecordBatch]:
+        rows, keys, owners, bands, seen = [], [], [], [], set()
+        for doc, text in zip(docs, texts, strict=True):
+            elements = shingle_set(self.hashes.of(word_list(text)), self.width)
+            size = len(elements)
+            if not size:
+                rows.append((doc, None, None, True, 0, None))
+                continue
+            set_id, band, first = xxhash.xxh3_128_digest(elements.tobytes()), band_of(size), True
+            while first or size * 100 // self.percent >= BAND ** band:
+                left, own = self.layout(band).keys(elements)
+                rows.append((doc, band, left, first, size, set_id))
+                if set_id not in seen:
+                    keys.append(own)
+                    owners.append(np.full(len(own), doc, np.int64))
+                    bands.append(np.full(len(own), band, np.int32))
+                band, first = band + 1, False
+            seen.add(set_id)
+        doc, band, *about = zip(*rows, strict=True)
+        doc = np.array(doc, np.int64)
+        yield table_batch(
+            tag(np.array([b or 0 for b in band]), TEXT), place=spread(doc), doc=doc,
+            about=pa.StructArray.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(about, ABOUT, strict=True)], fields=list(ABOUT)
+            ),
+        )
+        if not keys:
             return
-        set_id, band = xxhash.xxh3_128_digest(elements.tobytes()), band_of(size)
-        yield doc_id, size, set_id, True, band, *layout(band).keys(elements)
-        while size * 100 // percent >= BAND ** (band + 1):
-            band += 1
-            yield doc_id, size, set_id, False, band, *layout(band).keys(elements)
+        key, owner, band = np.concatenate(keys), np.concatenate(owners), np.concatenate(bands)
+        order = np.argsort(key, kind="stable")
+        key, owner, band = key[order], owner[order], band[order]
+        head = np.r_[True, key[1:] != key[:-1]]
+        many = np.diff(np.r_[np.flatnonzero(head), len(key)]) > 1
+        yield table_batch(tag(band[head], np.where(many, HEAD, LONE)), place=key[head], doc=owner[head])
+        rest = ~head
+        yield table_batch(
+            tag(band[rest], MEMBER), place=spread(owner[rest] ^ key[rest]), doc=owner[rest], key=pa.array(key[rest])
+        )
+
+
+def spread(values: np.ndarray) -> np.ndarray:
+    return mix(values.view(np.uint64)).view(np.int64)
+
+
+def tag(band: np.ndarray, kind) -> np.ndarray:
+    """Band and kind of a row in one number."""
+    return (band * KINDS + kind).astype(np.int32)
+
+
+def table_batch(tags: np.ndarray, **columns) -> pa.RecordBatch:
+    columns["tag"] = tags
+    return pa.RecordBatch.from_arrays([
+        columns.get(f.name) if isinstance(columns.get(f.name), pa.Array)
+        else pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(tags), f.type) for f in SIGNED
+    ], schema=SIGNED)
+
+
+def signatures(documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """The rows of ``Signer`` for all texts, less the keys that one text alone has.
+
+    Columns: kind (HEAD stands for LONE too), key, doc, band and about. Every key moves once.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        signer = Signer(width, percent)
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
-                rows = [
-                    row for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True)
-                    for row in rows_of(doc_id, shingle_set(hashes.of(word_list(text)), width))
-                ]
-                *plain, keys = zip(*rows, strict=True)
-                ends = np.cumsum([0, *map(len, keys)])
-                yield pa.RecordBatch.from_arrays([
-                    *[pa.array(c, t) for c, t in zip(plain, ARROW, strict=True)],
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys))),
-                ], names=[field.split()[0] for field in SIGNED.split(", ")])
-
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(sign, SIGNED)
+            if batch.num_rows:
+                yield from signer.batch(batch["doc_id"].to_pylist(), batch["text"].to_pylist())
+
+    made = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(sign, SIGNED_SQL)
+    heads = F.count(F.lit(1)).over(Window.partitionBy("place"))
+    kind = F.pmod("tag", F.lit(KINDS))
+    counted = made.withColumn("heads", heads).filter((kind != LONE) | (F.col("heads") > 1))
+    return counted.select(
+        F.when(kind == LONE, HEAD).otherwise(kind).alias("kind"), F.coalesce("key", "place").alias("key"), "doc",
+        F.floor(F.col("tag") / KINDS).cast("int").alias("band"), "about.*",
+    )
 
 
 def verified(documents: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of document ids whose whole shingle sets are similar enough."""
+    """The pairs (a, b) of document ids whose whole shingle sets are similar enough.
+
+    The texts of all partners of an ``a`` move to where the text of ``a`` is, about ``PARTNERS`` in
+    a group; each moves once per pair, and ``a`` once per group, and sets are made from them there. Rows that share an
+    id count as one document that is similar if any of its texts is.
+    """
     pairs = materialize(pairs)
-    ids = materialize(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct())
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("groups"))
+    partners = pairs.join(groups, "a").select(
+        F.col("b").alias("_doc"), "a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("role")
+    )
+    owners = groups.select(
+        F.col("a").alias("_doc"), "a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("role")
+    )
+    sent = materialize(partners.unionByName(owners))
 
-    def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, group, owned = WordHashes(), None, []
         for batch in batches:
-            for first in range(0, len(batch), ROWS):
-                part = batch.iloc[first:first + ROWS]
-                sets = [shingle_set(hashes.of(word_list(t)), width).tobytes() for t in part["text"]]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "elements": sets})
+            found = []
+            rows = zip(batch["a"], batch["part"], batch["role"], batch["b"], batch["text"], strict=True)
+            for a, part, role, b, text in rows:
+                elements = shingle_set(hashes.of(word_list(text)), width)
+                if (a, part) != group:
+                    group, owned = (a, part), []
+                if role == 0:
+                    owned.append(elements)
+                    continue
+                for other in owned:
+                    shared = len(np.intersect1d(elements, other, assume_unique=True))
+                    if 100 * shared >= percent * (len(elements) + len(other) - shared):
+                        found.append((a, b))
+                        break
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
 
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    needed = texts.join(wanted, F.col("doc_id") == F.col("_id"), "left_semi")
-    sets = materialize(needed.mapInPandas(collect, "doc_id long, elements binary").dropDuplicates(["doc_id"]))
-    left = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("left"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("right"))
+    needed = texts.join(small(sent), F.col("doc_id") == F.col("_doc")).select("a", "part", "role", F.col("doc_id").alias("b"), "text")
+    dealt = needed.repartition("a", "part").sortWithinPartitions("a", "part", "role", "b")
+    return dealt.mapInPandas(compare, "a long, b long")
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            similar = []
-            for x, y in zip(batch["left"], batch["right"], strict=True):
-                one, other = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(one, other, assume_unique=True))
-                similar.append(100 * shared >= percent * (len(one) + len(other) - shared))
-            yield batch.loc[similar, ["a", "b"]]
 
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInPandas(compare, "a long, b long")
+def small(stored: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it has ``BROADCAST_ROWS`` rows at most."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
 def similar_size(percent: int):
@@ -184,7 +265,7 @@ def linked_components(documents: DataFrame, width: int = 5, percent: int = 80) -
     are equal rows, and a null id is treated as the smallest number there is, shown as null again.
 
     Steps: sign every text; keep one row per class; group equal blocks; compare every class with
-    the smallest class of the block it shares most with; join what that has linked; compare every
+    the pivot it shares most blocks with; join what that has linked; compare every
     pair of classes that share a block and are not in one component yet. A common block is left
     out for texts that can spare it (see ``Layout``): a linked pair has another equal block.
     """
@@ -193,31 +274,39 @@ def linked_components(documents: DataFrame, width: int = 5, percent: int = 80) -
         F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("doc_id"), "text"
     )
     signed = materialize(signatures(keyed, width, percent))
+    texts = signed.filter(F.col("kind") == TEXT)
     classes = materialize(
-        signed.filter("first and set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+        texts.filter("first and set_id is not null").groupBy("set_id").agg(F.min("doc").alias("rep"), F.first("size").alias("size"))
     )
-    first = signed.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
-    blocks = first.select(
-        F.col("doc_id").alias("doc"), F.col("n_shingles").alias("size"), "band", "spare",
-        F.explode("keys").alias("key"),
+    spares = texts.filter("set_id is not null").select("doc", "band", "spare").distinct()
+    named = materialize(
+        texts.filter("first and set_id is not null").select("doc", "set_id").join(classes, "set_id")
+        .select("doc", "rep", "size").distinct()
+    )
+    blocks = signed.filter(F.col("kind") != TEXT).select("key", "doc", "band").join(small(named), "doc").select(
+        "key", F.col("rep").alias("doc"), "size", "band"
     )
     shared = blocks.groupBy("key").agg(
-        F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc", "size")).alias("pivot")
-    ).filter("docs > 1")
+        F.count(F.lit(1)).alias("docs"), F.min("doc").alias("low"), F.max("doc").alias("high")
+    ).filter("low <> high").select("key", "docs")
     buckets = materialize(blocks.join(shared, "key"))
 
-    # The smallest class of the block each class shares most often.
-    stars = buckets.filter("doc <> pivot.doc").select(
+    # The text whose blocks are shared most is nearest to the middle of its group: it is the pivot
+    # of a block, and a text is compared with the pivot it has most blocks in common with.
+    scores = materialize(buckets.groupBy("doc").agg(F.sum("docs").alias("score")))
+    ranked = buckets.join(small(scores), "doc")
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("score", "doc", "size")).alias("pivot"))
+    stars = ranked.join(pivots, "key").filter("doc <> pivot.doc").select(
         F.col("doc").alias("b"), F.col("size").alias("size_b"),
         F.col("pivot.doc").alias("a"), F.col("pivot.size").alias("size_a"),
     ).filter(similar_size(percent)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
     most = F.min(F.struct((-F.col("times")).alias("less"), "a"))
     checked = materialize(stars.groupBy("b").agg(most["a"].alias("a")))
-    links = materialize(verified(keyed, checked, width, percent))
+    links = materialize(verified(keyed, checked, width, percent).distinct())
 
     labels = materialize(components(links))
-    labelled = buckets.join(labels, F.col("doc") == F.col("node"), "left").select(
-        "key", "doc", "size", "band", "spare", "docs", F.coalesce("label", "doc").alias("label")
+    labelled = buckets.join(small(labels), F.col("doc") == F.col("node"), "left").select(
+        "key", "doc", "size", "band", "docs", F.coalesce("label", "doc").alias("label")
     )
     groups = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("members"))
     split = groups.groupBy("key").agg(
@@ -227,28 +316,38 @@ def linked_components(documents: DataFrame, width: int = 5, percent: int = 80) -
     common = open_rows.filter(F.col("docs") > COMMON).groupBy("doc", "band").agg(
         F.count(F.lit(1)).alias("common")
     )
+    # ``due``: of the blocks that a similar text has equal, the least number among the rows kept.
+    due = spares.join(common, ["doc", "band"], "left").select(
+        "doc", "band", (F.coalesce("common", F.lit(0)) > F.col("spare")).alias("at_risk"),
+        F.greatest(F.lit(1), F.col("spare") - F.coalesce("common", F.lit(0)) + 1).alias("due"),
+    )
     kept = materialize(
-        open_rows.join(common, ["doc", "band"], "left")
-        .filter((F.col("docs") <= COMMON) | (F.col("common") > F.col("spare")))
-        .select("key", "doc", "size", "label", "main")
+        open_rows.join(small(materialize(due)), ["doc", "band"]).filter((F.col("docs") <= COMMON) | F.col("at_risk"))
+        .select("key", "band", "doc", "size", "label", "main", "due")
     )
     # Every pair of different labels has a member outside the largest label of its block.
     outer = kept.filter("label <> main").select(
-        "key", F.col("doc").alias("x"), F.col("size").alias("size_a"), F.col("label").alias("label_x")
+        "key", "band", F.col("doc").alias("x"), F.col("size").alias("size_a"), F.col("label").alias("label_x"),
+        F.col("due").alias("due_x"),
+    )
+    inner = kept.select(
+        "key", F.col("doc").alias("y"), F.col("size").alias("size_b"), F.col("label").alias("label_y"),
+        F.col("due").alias("due_y"), (F.col("label") != F.col("main")).alias("out_y"),
     )
-    inner = kept.select("key", F.col("doc").alias("y"), F.col("size").alias("size_b"), F.col("label").alias("label_y"))
-    rest = outer.join(inner, "key").filter("label_x <> label_y").filter(similar_size(percent)).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).distinct().join(checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    # Pairs of two outer members would come twice.
+    met = outer.join(inner, "key").filter("label_x <> label_y and (not out_y or x < y)").filter(similar_size(percent))
+    enough = met.groupBy("band", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
+        F.count(F.lit(1)).alias("blocks"), F.max(F.greatest("due_x", "due_y")).alias("due")
+    ).filter("blocks >= due")
+    rest = enough.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
     more = verified(keyed, rest, width, percent)
 
     final = components(links.unionByName(more))
-    named = classes.join(final, F.col("rep") == F.col("node"), "left").select(
+    found = classes.join(final, F.col("rep") == F.col("node"), "left").select(
         "set_id", F.coalesce("label", "rep").alias("component")
     )
-    light = signed.filter("first").select("doc_id", "n_shingles", "set_id")
-    joined = light.join(named, "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    joined = texts.filter("first").select("doc", "size", "set_id").join(found, "set_id", "left").select(
+        F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
     )
     hidden = lambda name: F.when(F.col(name) != lowest, F.col(name)).alias(name)
     return joined.select(hidden("doc_id"), "n_shingles", hidden("component_id"))
