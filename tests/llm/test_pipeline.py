@@ -49,3 +49,51 @@ def test_stages_with_odd_and_without_rows(spark, sf_dir):
         for _, stage in pipeline.STAGES:
             made = stage(spark, frame, sf_dir)
             assert made.count() <= frame.count()
+
+
+def kept(frame):
+    return sorted(((r["doc_id"], r["text"]) for r in frame.collect()), key=str)
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark, sf_dir):
+    source = random.Random(5)
+    a, b, c, d, e, f = (sentence(source, 60, 10**6) for _ in range(6))
+    rows = [
+        (None, a), (3, a), (4, a + " more"),  # a group with a null id
+        (5, b), (5, b), (5, b),  # exact repeats
+        (None, c), (None, d),  # null ids of different texts
+        (6, e), (6, f), (7, f),  # one id, two texts
+        (8, None), (8, None), (8, ""), (9, ""), (None, None), (None, None),  # without words
+    ]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCUMENTS)
+    wanted = [(None, a), (5, b), (None, c), (None, d), (6, e), (6, f), (8, None), (8, ""), (9, ""), (None, None)]
+    assert kept(pipeline.near_duplicates(spark, frame, sf_dir)) == sorted(wanted, key=str)
+
+
+def test_repeats_that_differ_in_other_columns_leave_one_row(spark, sf_dir):
+    frame = spark.createDataFrame([(1, "a b c", lang, "s", 5) for lang in ("fr", None, "de")], DOCUMENTS)
+    assert [tuple(r) for r in pipeline.near_duplicates(spark, frame, sf_dir).collect()] == [(1, "a b c", None, "s", 5)]
+
+
+def test_decontamination_with_null_and_repeated_ids(spark, sf_dir):
+    source = random.Random(6)
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    a, b, c = (sentence(source, 60, 10**6) for _ in range(3))
+    rows = [(None, f"{a} {item}"), (None, a), (8, f"{b} {item}"), (8, b), (9, c), (9, c), (None, None)]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCUMENTS)
+    wanted = [(None, a), (8, b), (9, c), (9, c), (None, None)]
+    assert kept(pipeline.decontamination(spark, frame, sf_dir)) == sorted(wanted, key=str)
+
+
+def test_keys_that_meet_are_made_anew(spark, monkeypatch):
+    frame = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, None)], "doc_id long, text string")
+    real, seeds = pipeline.F.xxhash64, []
+
+    def clash(seed, *columns):
+        seeds.append(seed)
+        return pipeline.F.lit(7).cast("long") if len(seeds) == 1 else real(seed, *columns)
+
+    monkeypatch.setattr(pipeline.F, "xxhash64", clash)
+    keyed, keys = pipeline.with_row_key(frame)
+    assert len(seeds) == 2 and keys.count() == 3 and keyed.select("_key").distinct().count() == 3
+    assert {(r["doc_id"], r["copies"]) for r in keys.collect()} == {(1, 1), (2, 2), (None, 1)}
