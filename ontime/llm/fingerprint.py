@@ -30,10 +30,12 @@ def words(text: Column) -> Column:
     return let(found, lambda w: F.when(F.size(w) > 0, w).otherwise(F.array(text)))
 
 
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
+def anchors(text: Column, k: int = K, s: int = S, never_none: bool = False) -> Column:
     """Chosen windows in order, as an array of (position of the first word, hash).
 
-    A null or empty text has none. A text of fewer than K words is one window.
+    A null or empty text has none. A text of fewer than K words is one window. With ``never_none``
+    the window of the smallest hash stands for a text in which none is chosen; without, whether a
+    window is an anchor depends on its own words in short texts too.
     """
     if not 1 <= s < k:
         raise ValueError("inner groups are shorter than the window")
@@ -50,7 +52,16 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
                 parts = [F.get(g, i + j) for j in range(inner)]
                 least = F.least(*parts)
                 return (parts[0] == least) | (parts[-1] == least)
-            starts = F.filter(F.sequence(F.lit(0), F.size(w) - k), at_edge)
+            every = F.sequence(F.lit(0), F.size(w) - k)
+            edges = windows(F.filter(every, at_edge))
+            if not never_none:
+                return edges
+            first = lambda a, b: (
+                F.when(a["hash"] < b["hash"], -1).when(a["hash"] > b["hash"], 1).otherwise(a["position"] - b["position"])
+            )
+            return let(edges, lambda e: F.when(F.size(e) > 0, e).otherwise(F.slice(F.array_sort(windows(every), first), 1, 1)))
+
+        def windows(starts: Column) -> Column:
             return F.transform(starts, lambda i: F.struct(
                 i.alias("position"),
                 F.xxhash64(*[F.get(w, i + j) for j in range(k)]).alias("hash"),
@@ -112,7 +123,7 @@ def slice_of(key: Column, bounds: list[int]) -> Column:
 
 
 def with_next(documents: DataFrame, slices: int) -> DataFrame:
-    """Texts with their anchors and those of the next document.
+    """Texts with their anchors and those of the next document; only empty texts have none.
 
     Columns: doc_id, text, anchors, next_text, next_anchors. The next document has the next greater
     doc_id; after the last comes the first. Rows of one doc_id all have the same next, of which the
@@ -135,7 +146,7 @@ def with_next(documents: DataFrame, slices: int) -> DataFrame:
         return F.when(F.get(firsts, own) == F.col("key"), F.array(resident, guest)).otherwise(F.array(resident))
 
     dealt = rows.select("*", F.inline(let(slice_of(F.col("key"), bounds), homes)))
-    marked = dealt.repartition("home").withColumn("anchors", anchors(F.col("text")))
+    marked = dealt.repartition("home").withColumn("anchors", anchors(F.col("text"), never_none=True))
     # Going down, what stands before the first row of a key is the next document.
     down = Window.partitionBy("home").orderBy(F.desc("guest"), F.desc("key"), F.desc("text"))
     above = marked.withColumns({
@@ -167,7 +178,7 @@ def edited_likeness(documents: DataFrame, slices: int) -> DataFrame:
     read = both.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("anchors")).alias("fingerprint"),
-        anchors(F.col("edited")).alias("edited_anchors"), anchor_set(F.col("anchors")).alias("own"),
+        anchors(F.col("edited"), never_none=True).alias("edited_anchors"), anchor_set(F.col("anchors")).alias("own"),
         anchor_set(F.col("next_anchors")).alias("other"),
     )
     return read.select(

@@ -59,3 +59,31 @@ def test_matches_give_places(spark):
     both = documents(spark, [f"x y z {passage}", passage]).withColumn("anchors", fingerprint.anchors(F.col("text")))
     found = fingerprint.matches(both.filter("doc_id = 0"), both.filter("doc_id = 1")).collect()
     assert found and all(r["left_position"] == r["right_position"] + 3 for r in found)
+
+
+@pytest.mark.parametrize("length", range(1, 8))
+def test_short_texts_have_an_anchor_of_their_own(spark, length):
+    source = random.Random(length)
+    texts = [sentence(source, length, 10**6) for _ in range(40)] + [""]
+    found = fingerprint.edited_likeness(documents(spark, texts), 3).orderBy("doc_id").collect()
+    assert all(r["fingerprint"] for r in found[:-1]) and found[-1]["fingerprint"] == ""
+    assert len({r["fingerprint"] for r in found}) == len(texts)
+    assert all(r["near_next"] == 0 for r in found)
+
+
+def test_a_window_stands_for_a_text_without_a_chosen_one(spark):
+    """Only texts without a chosen window differ; their anchor is the window of the smallest hash."""
+    source = random.Random(11)
+    texts = [sentence(source, n, 10**6) for n in (5, 6, 7, 20) for _ in range(40)]
+    own, always = fingerprint.anchors(F.col("text")), fingerprint.anchors(F.col("text"), never_none=True)
+    rows = documents(spark, texts).select("text", own.alias("own"), always.alias("always")).collect()
+    lone = [r for r in rows if not r["own"]]
+    assert lone and all(r["own"] == r["always"] for r in rows if r["own"])
+    for row in lone:
+        words = row["text"].split()
+        windows = [" ".join(words[i:i + fingerprint.K]).split() for i in range(len(words) - fingerprint.K + 1)]
+        hashes = spark.createDataFrame([(i, w) for i, w in enumerate(windows)], "i int, w array<string>").select(
+            F.xxhash64(*[F.col("w")[j] for j in range(fingerprint.K)]).alias("h"), "i"
+        ).collect()
+        least = min(hashes, key=lambda r: r["h"])
+        assert [(a["position"], a["hash"]) for a in row["always"]] == [(least["i"], least["h"])]
