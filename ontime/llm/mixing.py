@@ -63,6 +63,18 @@ def leaf_budgets(leaves: DataFrame, budget: int, path: list[str], weights: Weigh
     return budgets.select(*path, F.floor(F.col("budget") + 1e-6).cast("long").alias("budget"))
 
 
+def without_tokens(leaves: DataFrame, path: list[str], weights: Weights) -> DataFrame:
+    """The leaves that have documents but no tokens, less those that a weight of 0 leaves out."""
+    spark = leaves.sparkSession
+    barred = [(len(k), "\x1f".join(k)) for k, w in weights.items() if not w > 0]
+    table = spark.createDataFrame(barred, "depth int, name string")
+    empty = leaves.filter("tokens = 0")
+    for depth in sorted({d for d, _ in barred}):
+        named = table.filter(F.col("depth") == depth).select("name")
+        empty = empty.join(named, F.concat_ws("\x1f", *path[:depth]) == F.col("name"), "left_anti")
+    return empty.select(*path)
+
+
 def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
     """Place of a document in the order of an epoch, as hex digits."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit(""))))
@@ -107,21 +119,25 @@ def mix_plan(
     mix is smaller than the budget.
 
     Null path values are a value of their own. Rows with one doc_id in one leaf are taken or left
-    together, at the cut in proportion. Documents without tokens come along until the cut. Empty
-    tables give empty mixes. Documents are not shuffled; the table of leaves is broadcast where it
+    together, at the cut in proportion. Documents without tokens come along until the cut; a leaf
+    of such documents alone has no cut and is taken whole, once, unless a weight of 0 leaves it
+    out. A budget of 0 and empty tables give empty mixes. Documents are not shuffled; the table of leaves is broadcast where it
     has ``BROADCAST_LEAVES`` rows at most, and joined otherwise.
     """
     names = [f"_mix_{name}" for name in path]
     data = documents.drop("n_tokens", "epoch", "taken_tokens").withColumn("n_tokens", tokens)
     data = data.withColumns({f"_mix_{n}": F.coalesce(F.col(n).cast("string"), F.lit(NONE)) for n in path})
     units = materialize(data.groupBy(*names, "doc_id").agg(F.sum("n_tokens").alias("tokens")))
-    leaves = units.groupBy(*names).agg(F.sum("tokens").alias("tokens")).filter("tokens > 0")
+    every_leaf = units.groupBy(*names).agg(F.sum("tokens").alias("tokens"))
+    leaves = every_leaf.filter("tokens > 0")
     if budget is None:
         budget = int((leaves.agg(F.sum("tokens")).first()[0] or 0) * (1.0 if share is None else share))
     budgets = leaf_budgets(leaves, budget, names, weights or {}, max_epochs)
-    cuts = materialize(leaf_cuts(units, budgets, names, seed).withColumnsRenamed(
-        {name: f"_mix_{name}" for name in ("epochs", "cut", "last", "unit")}
-    ))
+    cuts = leaf_cuts(units, budgets, names, seed)
+    if budget > 0 and max_epochs > 0:
+        once = without_tokens(every_leaf, names, weights or {}).withColumn("epochs", F.lit(1))
+        cuts = cuts.unionByName(once, allowMissingColumns=True)
+    cuts = materialize(cuts.withColumnsRenamed({name: f"_mix_{name}" for name in ("epochs", "cut", "last", "unit")}))
     small = F.broadcast(cuts) if cuts.count() <= BROADCAST_LEAVES else cuts
     placed = data.join(small, names).withColumn(
         "epoch", F.explode(F.sequence(F.lit(0), F.col("_mix_epochs")))

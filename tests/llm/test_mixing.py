@@ -87,3 +87,18 @@ def test_repeated_rows_and_empty_table(spark):
     assert sum(r["taken_tokens"] for r in whole) == 14
     assert mixing.mix_plan(frame.limit(0), mixing.word_count(), share=0.5).count() == 0
     assert mixing.mix_plan(frame, F.lit(0), share=0.5).count() == 0
+
+
+@pytest.mark.parametrize("share,max_epochs", [(1.0, 1), (0.3, 1), (1.0, 3)])
+def test_leaves_without_tokens_are_taken_once(spark, share, max_epochs):
+    rows = [
+        (0, "A", "en", "s", "w " * 10), (1, "A", "en", "t", ""), (2, "A", "en", "t", None), (2, "A", "en", "t", None),
+        (3, "B", None, None, " "), (4, "C", "en", "s", ""), (5, "A", "de", "s", ""), (6, "A", "fr", "u", ""), (7, "A", "fr", "v", ""),
+    ]
+    weights = {("C",): 0.0, ("A", "de"): 0.0, ("A", "fr", "u"): 0.0, ("B",): 2.0}
+    made = mixing.mix_plan(
+        clashing(spark.createDataFrame(rows, SCHEMA)), mixing.word_count(), share=share, weights=weights, max_epochs=max_epochs
+    ).collect()
+    empty = sorted((r["doc_id"], r["epoch"], r["taken_tokens"]) for r in made if r["doc_id"])
+    assert empty == [(1, 0, 0), (2, 0, 0), (2, 0, 0), (3, 0, 0), (7, 0, 0)]
+    assert sum(r["taken_tokens"] for r in made) == int(10 * share)
