@@ -21,7 +21,13 @@ MATCH = 5  # words of the shortest tile
 COVER = 0.5  # share of an item from which a document counts as contaminated
 BLOCK_WORDS = 1_000_000  # words of test items that a worker holds at once
 FILTER_BITS = 22
-WORD = re.compile(r"\w+")
+# Han, Hiragana, Katakana and Thai are written without spaces: a word per character.
+ALONE = (
+    "\u0e01-\u0e3a\u0e40-\u0e5b\u2e80-\u2fd5\u3005\u3007\u3021-\u3029\u3038-\u303b\u3041-\u3096\u309d-\u309f\u30a1-\u30fa"
+    "\u30fd-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufad9\uff66-\uff6f\uff71-\uff9d"
+    "\U0001b000-\U0001b16f\U00020000-\U000323af"
+)
+WORD = re.compile(rf"[{ALONE}]|[^\W{ALONE}]+")
 
 
 def word_hashes(text: str, hashes: WordHashes) -> np.ndarray:
@@ -59,46 +65,60 @@ def tiles(doc: np.ndarray, item: np.ndarray, at: np.ndarray, of: np.ndarray, mat
     return found
 
 
-class Seeds:
-    """The windows of a block of test items, looked up by hash."""
+class Windows:
+    """The windows of one length of some test items, looked up by hash."""
 
-    def __init__(self, items: list[tuple[int, bytes]], match: int):
+    def __init__(self, items: list[np.ndarray], chosen: list[int], match: int):
         self.match = match
-        self.ids = [item_id for item_id, _ in items]
-        self.items = [np.frombuffer(words, np.uint64) for _, words in items]
-        long = [i for i, words in enumerate(self.items) if len(words) >= match]
-        windows = [shingles(self.items[i], match) for i in long]
+        windows = [shingles(items[i], match) for i in chosen]
         hashes = np.concatenate([np.zeros(0, np.uint64), *windows])
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
-        self.item = np.repeat(np.array(long, np.int64), [len(w) for w in windows])[order]
+        self.item = np.repeat(np.array(chosen, np.int64), [len(w) for w in windows])[order]
         self.place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(w)) for w in windows]])[order]
         self.filter = np.zeros(2 ** FILTER_BITS, bool)
         self.filter[(self.hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
 
-    def matches(self, doc: np.ndarray, cover: float) -> Iterator[tuple[int, int, int, list]]:
-        """Items covered enough: id, words, covered words, tiles."""
-        if len(doc) < self.match:
-            return
+    def seeds(self, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in the document, item and place in the item of all equal windows."""
         windows = shingles(doc, self.match)
         at = np.flatnonzero(self.filter[(windows >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
         first = np.searchsorted(self.hashes, windows[at], "left")
         count = np.searchsorted(self.hashes, windows[at], "right") - first
         at, first, count = at[count > 0], first[count > 0], count[count > 0]
-        if not len(at):
-            return
         row = np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-        at, item, place = np.repeat(at, count), self.item[row], self.place[row]
-        for i in np.unique(item):
-            own, words = item == i, self.items[i]
-            reach = np.unique(place[own])
-            most = int(np.minimum(np.diff(np.r_[reach, reach[-1] + self.match]), self.match).sum())
-            if most < cover * len(words):  # even if every seed became part of a tile
+        return np.repeat(at, count), self.item[row], self.place[row]
+
+
+class Seeds:
+    """The windows of a block of test items; an item shorter than ``match`` words is one window."""
+
+    def __init__(self, items: list[tuple[int, bytes]], match: int):
+        self.ids = [item_id for item_id, _ in items]
+        self.items = [np.frombuffer(words, np.uint64) for _, words in items]
+        by_length: dict[int, list[int]] = {}
+        for i, words in enumerate(self.items):
+            if len(words):
+                by_length.setdefault(min(match, len(words)), []).append(i)
+        self.windows = [Windows(self.items, chosen, length) for length, chosen in by_length.items()]
+
+    def matches(self, doc: np.ndarray, cover: float) -> Iterator[tuple[int, int, int, list]]:
+        """Items covered enough: id, words, covered words, tiles."""
+        for windows in self.windows:
+            match = windows.match
+            if len(doc) < match:
                 continue
-            made = tiles(doc, words, at[own], place[own], self.match)
-            covered = sum(n for _, _, n in made)
-            if covered >= cover * len(words):
-                yield self.ids[i], len(words), covered, made
+            at, item, place = windows.seeds(doc)
+            for i in np.unique(item):
+                own, words = item == i, self.items[i]
+                reach = np.unique(place[own])
+                most = int(np.minimum(np.diff(np.r_[reach, reach[-1] + match]), match).sum())
+                if most < cover * len(words):  # even if every seed became part of a tile
+                    continue
+                made = tiles(doc, words, at[own], place[own], match)
+                covered = sum(n for _, _, n in made)
+                if covered >= cover * len(words):
+                    yield self.ids[i], len(words), covered, made
 
 
 RESULT = (
@@ -113,8 +133,9 @@ def contaminated(
 ) -> DataFrame:
     """One row for every document and test item whose tiles cover ``cover`` of the item or more.
 
-    Words are runs of letters, digits and underscores in lower case. Items of fewer than ``match``
-    words, null and empty texts match nothing; null ids stay; repeated rows give repeated results;
+    Words are runs of letters, digits and underscores in lower case, and single characters of the
+    scripts in ``ALONE``. An item of fewer than ``match`` words has to be held whole; texts without
+    words match nothing; null ids stay; repeated rows give repeated results;
     other columns are ignored. Items are dealt into blocks of about ``block_words`` words, the most
     that is sent to every worker at once; documents are read once per block and never shuffled.
     """
@@ -132,7 +153,7 @@ def contaminated(
     text = F.coalesce("text", F.lit("")).alias("text")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text).mapInPandas(
         read, "item_id long, words binary, n long"
-    ).filter(F.col("n") >= match).distinct().persist()
+    ).filter("n > 0").distinct().persist()
     total = items.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text)

@@ -82,3 +82,22 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert len(found) == 6 and {r["covered_words"] for r in found} == {6}
     assert tiling.contaminated(docs, items.limit(0)).count() == 0
     assert tiling.contaminated(docs.limit(0), items).count() == 0
+
+
+def test_items_of_few_words_are_held_whole(spark):
+    texts = ["so Paris, is it", "paris", "it is so", "a b a b c d", "one two three", "", None, "nothing of it"]
+    items = [(1, "Paris"), (2, "is it"), (3, "a b c"), (4, "One, two! three four"), (5, ""), (6, "?!"), (7, "x y")]
+    found = tiling.contaminated(clashing(documents(spark, texts)), spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["item_words"], r["covered_words"]) for r in found) == [
+        (0, 1, 1, 1), (0, 2, 2, 2), (1, 1, 1, 1), (3, 3, 3, 3),
+    ]
+    assert [[tuple(t) for t in r["tiles"]] for r in found if r["item_id"] == 3] == [[(2, 0, 3)]]
+
+
+def test_scripts_without_spaces(spark):
+    japanese, thai = "東京タワーはどこにありますか", "สวัสดีชาวโลก"
+    texts = [f"質問{japanese}答え", f"ก{thai}ข", "東京は大きい", "สวัสดี", f"abc{japanese}def ghi"]
+    items = spark.createDataFrame([(1, japanese), (2, thai), (3, "東京")], ITEMS)
+    found = tiling.contaminated(documents(spark, texts), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 1), (0, 3), (1, 2), (2, 3), (3, 2), (4, 1), (4, 3)}
+    assert tiling.WORD.findall("aあb漢字c") == ["a", "あ", "b", "漢", "字", "c"]
