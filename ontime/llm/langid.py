@@ -18,7 +18,7 @@ BUCKETS = 2 ** 16
 ORDERS = (1, 2, 3)
 SAMPLE = 4000  # documents per language that a model is fitted on, about
 ALPHA = 0.5
-LANGUAGES = 1000  # most languages in a model
+LANGUAGES = 128  # languages of the model that are held at once
 TASKS = 12  # that count the sample, each giving a row per language
 PIECE = 2_000_000  # characters handled at once
 UNKNOWN = "und"
@@ -58,20 +58,21 @@ def grams(text: str) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def train(documents: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, log-probabilities (BUCKETS x languages) and log-priors.
+def model_blocks(documents: DataFrame, sample: int = SAMPLE) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """Languages, log-probabilities (BUCKETS x languages) and log-priors, ``LANGUAGES`` at a time.
 
     Learns from rows that are not held out and have a language and letters; about ``sample`` of
     each language, chosen by a hash of the id, all where there are fewer. Priors count all such
     rows. Counts are summed per task, then per language, so one row per language and task moves.
+    A task holds one language at a time; the driver holds a name and a number of each language.
     """
     usable = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").filter(
         "lang is not null and text is not null"
     ).filter(~held_out())
-    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = usable.groupBy("lang").count().collect()
     names = sorted(r["lang"] for r in sizes)
     if not names:
-        return [], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32)
+        return
     total = sum(r["count"] for r in sizes)
     prior = {r["lang"]: np.log(r["count"] / total) for r in sizes}
     spark = documents.sparkSession
@@ -80,13 +81,16 @@ def train(documents: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.nda
     chosen = usable.join(F.broadcast(rates), "lang").filter(drawn)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[str, np.ndarray] = {}
+        current, sums = None, np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                sums[lang] += np.bincount(grams(text), minlength=BUCKETS)
-        if sums:
-            yield pd.DataFrame({"lang": list(sums), "counts": [c.tobytes() for c in sums.values()]})
+                if lang != current:
+                    if current is not None:
+                        yield pd.DataFrame({"lang": [current], "counts": [sums.tobytes()]})
+                    current, sums = lang, np.zeros(BUCKETS, np.int64)
+                sums += np.bincount(grams(text), minlength=BUCKETS)
+        if current is not None:
+            yield pd.DataFrame({"lang": [current], "counts": [sums.tobytes()]})
 
     def add(key: tuple, part: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(BUCKETS, np.int64)
@@ -96,12 +100,22 @@ def train(documents: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.nda
         yield pd.DataFrame({"lang": [key[0]], "counts": [sums.tobytes()]})
 
     schema = "lang string, counts binary"
-    partial = chosen.select("lang", "text").repartition(TASKS).mapInPandas(count, schema)
+    partial = chosen.select("lang", "text").repartition(TASKS).sortWithinPartitions("lang").mapInPandas(count, schema)
     whole = materialize(partial.groupBy("lang").applyInPandas(add, schema))
-    sums = {r["lang"]: np.frombuffer(bytes(r["counts"]), np.int64) for r in whole.collect()}
     empty = np.zeros(BUCKETS, np.int64)
-    table = np.stack([sums.get(n, empty) for n in names], axis=1) + ALPHA
-    return names, np.log(table / table.sum(axis=0)).astype(np.float32), np.array([prior[n] for n in names], np.float32)
+    for i in range(0, len(names), LANGUAGES):
+        part = names[i:i + LANGUAGES]
+        found = whole.filter(F.col("lang").between(part[0], part[-1])).collect()
+        sums = {r["lang"]: np.frombuffer(bytes(r["counts"]), np.int64) for r in found}
+        table = np.stack([sums.get(n, empty) for n in part], axis=1) + ALPHA
+        yield part, np.log(table / table.sum(axis=0)).astype(np.float32), np.array([prior[n] for n in part], np.float32)
+
+
+def train(documents: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The blocks of ``model_blocks`` in one, for models that fit into memory."""
+    none = [], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32)
+    names, tables, priors = zip(none, *model_blocks(documents, sample), strict=True)
+    return sum(names, []), np.concatenate(tables, axis=1), np.concatenate(priors)
 
 
 def predict(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -110,29 +124,45 @@ def predict(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     ``lang_pred`` is a language seen in training, or ``und`` with score 0 where the text is null or
     has no letter, or nothing could be learnt. ``score`` is the share of the likeliest language
     when the log-probability per n-gram decides. Of equally likely languages the first by name is
-    taken. Rows are not shuffled; the model holds LANGUAGES languages at most.
+    taken. Rows are not shuffled. All languages are scored; where there are more than LANGUAGES,
+    workers read the model block by block for every piece of text and keep the running best.
     """
-    names, table, prior = train(documents, sample)
-    sent = documents.sparkSession.sparkContext.broadcast((names, table, prior))
+    context = documents.sparkSession.sparkContext
+    sent = [context.broadcast(part) for part in model_blocks(documents, sample)]
+
+    def load(part):
+        """One block stays in the memory of a worker; several are read anew from its disk."""
+        path = getattr(part, "_path", None)
+        return part.load_from_path(path) if len(sent) > 1 and path else part.value
 
     def block(texts: list[str]) -> list[tuple[str, float]]:
-        names, table, prior = sent.value
         found = [grams(t) for t in texts]
         sizes = np.array([len(g) for g in found])
         out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
         rows = np.flatnonzero(sizes)
-        if not len(rows) or not names:
+        if not len(rows) or not sent:
             return out
         # One long list of buckets, cut where texts begin: a sparse matrix in compressed rows.
         starts = np.r_[0, np.cumsum(sizes[rows])[:-1]]
         buckets = np.concatenate([found[i] for i in rows])
-        sums = np.stack([np.add.reduceat(table[:, k][buckets].astype(np.float64), starts) for k in range(len(names))], axis=1)
-        best = (sums + prior).argmax(axis=1)
-        mean = (sums + prior) / np.sqrt(sizes[rows])[:, None]
-        power = np.exp(mean - mean.max(axis=1, keepdims=True))
-        share = power[np.arange(len(rows)), best] / power.sum(axis=1)
-        for i, k, s in zip(rows, best, share, strict=True):
-            out[i] = (names[k], float(s))
+        best, top, total = np.full(len(rows), -np.inf), np.full(len(rows), -np.inf), np.zeros(len(rows))
+        likeliest = [UNKNOWN] * len(rows)
+        for part in sent:
+            names, table, prior = load(part)
+            sums = prior + np.stack(
+                [np.add.reduceat(table[:, k][buckets].astype(np.float64), starts) for k in range(len(names))], axis=1
+            )
+            own = sums.argmax(axis=1)
+            value = sums[np.arange(len(rows)), own]
+            for i in np.flatnonzero(value > best):
+                likeliest[i] = names[own[i]]
+            best = np.maximum(best, value)
+            mean = sums / np.sqrt(sizes[rows])[:, None]
+            higher = np.maximum(top, mean.max(axis=1))
+            total = total * np.exp(top - higher) + np.exp(mean - higher[:, None]).sum(axis=1)
+            top = higher
+        for i, name, share in zip(rows, likeliest, 1 / total, strict=True):
+            out[i] = (name, float(share))
         return out
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

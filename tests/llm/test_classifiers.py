@@ -96,3 +96,23 @@ def test_counts_match_a_direct_count(spark):
     counts = np.bincount(langid.grams("abc d"), minlength=langid.BUCKETS) * n + langid.ALPHA
     assert np.allclose(table[:, 1], np.log(counts / counts.sum()), atol=1e-5)
     assert np.isclose(np.exp(prior).sum(), 1)
+
+
+def test_more_languages_than_are_held_at_once(spark, monkeypatch):
+    """Blocks of languages give what one block gives; rare languages are found too."""
+    source = random.Random(8)
+    alphabets = {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst", "ee": "uvwxy"}
+    rows = []
+    for n, (lang, letters) in enumerate(alphabets.items()):
+        for _ in range(20 + 10 * n):
+            text = " ".join("".join(source.choices(letters + "abf", k=5)) for _ in range(15))
+            rows.append((len(rows), text, lang))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    results = []
+    for held in (1000, 2, 1):
+        monkeypatch.setattr(langid, "LANGUAGES", held)
+        results.append({r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(frame).collect()})
+    assert all(results[0][i][0] == lang for i, _, lang in rows)
+    for other in results[1:]:
+        assert {i: p for i, (p, _) in other.items()} == {i: p for i, (p, _) in results[0].items()}
+        assert all(np.isclose(other[i][1], s) for i, (_, s) in results[0].items())
