@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import functions as F
 
-from checks import binding
+from checks import binding, registry
 from ontime import schema
-from ontime.operators.model import TreeSettings, best_prefix, category_encodings, fit
-from ontime.plans import score, train
+from ontime.operators import curve
+from ontime.operators.model import DelayModel, TreeSettings, best_prefix, category_encodings, fit
+from ontime.operators.profiles import Profiles
+from ontime.plans import evaluation, score, train
 from ontime.session import scratch_path
 from ontime.sources import artifacts, tables
 
@@ -115,3 +118,21 @@ def test_encodings_shrink_rare_levels(spark):
     overall = 101 / 200
     assert rates["c"] == pytest.approx((1 + 20 * overall) / 21)
     assert rates["a"] > rates["c"] > rates["b"]
+
+
+def test_the_trees_of_the_queries_reach_the_bar_and_survive_saving(spark):
+    """At sf0.01 the settings of the registered queries reach an AUC of 0.56 on the test flights."""
+    frame, fitted = registry.trained(binding.flights(spark, "/root/testdata/sf0.01"))
+    tested = frame.filter("split = 'test'")
+    scored = fitted.score(tested)
+    rows = evaluation.scored_rows(scored, schema.TARGET_LABEL, "delay_probability")
+    found = curve.ranking_metrics(curve.score_curve(rows, ["split"]), ["split"]).first()["roc_auc"]
+    print("roc_auc", found, "trees", fitted.trees.getNumTrees)
+    assert found >= 0.56
+    folder = scratch_path(spark, "trees")
+    artifacts.save_bundle(spark, folder, fitted, Profiles({}), {})
+    trees = GBTClassificationModel.load(f"{folder}/trees")
+    loaded = DelayModel(spark.read.parquet(f"{folder}/encodings"), fitted.prior, trees, fitted.constant)
+    columns = ["flight_key", "delay_probability"]
+    before, after = scored.select(*columns), loaded.score(tested).select(*columns)
+    assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
