@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontime.llm import (
-    chat, fingerprint, langid, mixing, nbsvm, parity, sharding, tiling, tokens, warc,
+    chat, fingerprint, golay, langid, mixing, nbsvm, parity, periodic, sharding, spelling, tiling, tokens, warc,
 )
 from ontime.session import materialize, scratch_path
 
@@ -107,6 +107,46 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved_headers(warc.read_records(spark, folder))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words with one letter deleted where a checksum says so, each with the common word it is a variant of."""
+    counted = spelling.word_counts(table(spark, sf_dir, "documents"), delete_every=31)
+    return spelling.variants(counted)
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; one whose id is null has a class by its links, whose smallest id is taken."""
+    signed = golay.fingerprints(table(spark, sf_dir, "documents"))
+    return golay.linked_components(signed).select("doc_id", golay.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
+
+
+# Of the ids whose checksum ends in 0, the words from place a on repeat the p words there.
+REPEATED = r"""
+CASE WHEN crc32(CAST(doc_id AS STRING)) % 10 = 0 THEN
+  transform(transform(transform(array(regexp_extract_all(text, r'[^\x20\x09-\x0D]+', 0)),
+    w -> named_struct('w', w, 'n', size(w), 'g', CAST(floor(crc32(CAST(doc_id AS STRING)) / 10) AS INT))),
+    x -> named_struct('w', x.w, 'n', x.n, 'g', x.g, 'a', IF(x.n > 0, CAST(x.g % x.n AS INT), 0))),
+    y -> IF(y.n = 0, '', array_join(concat(
+      slice(y.w, 1, y.a),
+      slice(flatten(array_repeat(slice(y.w, y.a + 1, CAST(1 + floor((y.n - y.a) / (3 + y.g % 8)) AS INT)), 11)), 1, y.n - y.a)), ' ')))[0]
+ELSE text END"""
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.expr(REPEATED).alias("text"))
+    found = periodic.periodic_runs(documents)
+    best = F.expr(
+        "aggregate(runs, CAST(NULL AS struct<start:long,length:long,period:long>), (best, r) -> "
+        "IF(best IS NULL OR r.length * best.period > best.length * r.period, r, best))"
+    )
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"), F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(F.expr("1000 * best.length div best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_decontamination": op2_decontamination,
@@ -118,4 +158,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_warc": op10_warc,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_simhash": op12_simhash,
+    "op13_periodic_runs": op13_periodic_runs,
 }
