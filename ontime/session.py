@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,5 +46,51 @@ def materialize(data: DataFrame) -> DataFrame:
     """
     spark = data.sparkSession
     path = scratch_path(spark, "stored")
+    if _open_scopes:
+        _open_scopes[-1].add(path)
     data.write.parquet(path)
-    return spark.read.schema(data.schema).parquet(path)
+    stored = spark.read.schema(data.schema).parquet(path)
+    stored.stored_path = path
+    return stored
+
+
+_open_scopes: list[set[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes what ``materialize`` stores inside, at the end.
+
+    A result that is read later must be complete by then: collected, written, or stored again with
+    ``handed_on``. Scopes nest; a table belongs to the innermost one.
+    """
+    _open_scopes.append(set())
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            delete(spark, path)
+
+
+def handed_on(data: DataFrame) -> DataFrame:
+    """Store the result of a scope for the scope around it, or for good where there is none."""
+    own = _open_scopes.pop() if _open_scopes else None
+    try:
+        return materialize(data)
+    finally:
+        if own is not None:
+            _open_scopes.append(own)
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more, before their scope ends."""
+    for frame in stored:
+        delete(frame.sparkSession, frame.stored_path)
+        for paths in _open_scopes:
+            paths.discard(frame.stored_path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
