@@ -2,8 +2,10 @@
 
 The shingles of a text flip bits of a wide sketch, so the sketches of two texts differ in at most as
 many bits as their sets differ in elements. Texts of a size band share one layout of blocks, with
-more blocks than a similar pair can have differences: some block is then equal in both. Equal
-blocks propose pairs; the whole sets decide.
+more blocks than a similar pair can have differences: a known number of blocks is then equal.
+Each text is joined on its rarest blocks only, as many as make sure that one of the equal ones is
+among them; the Hamming distance of a narrower sketch drops pairs that differ in too much; the whole
+sets decide.
 """
 
 from __future__ import annotations
@@ -20,14 +22,15 @@ from pyspark.sql.window import Window
 
 from ontime.llm.components import components
 from ontime.llm.words import WordHashes, mix, shingles
-from ontime.session import materialize
+from ontime.session import discard, handed_on, materialize, scope
 
 BAND = 1.5  # ratio of the sizes in a band
+MARGIN = 0.25  # blocks beyond those needed, as a share of them
 WIDTH = 2 ** 24  # bits of a block
-COMMON = 50  # documents from which a block counts as common
+SKETCH = 4  # bits of the stored sketch per difference that a similar pair may have
 BROADCAST_ROWS = 500_000  # rows of a few numbers that a broadcast may hold
-PARTNERS = 500  # sets compared with one set in a task
-ROWS = 500  # texts turned into output rows at once
+GROUP = 2_000  # nodes of a block that a task compares with each other
+TILE = 500  # texts of a tile, whose sets a task holds
 
 
 def word_list(text: str) -> list[bytes]:
@@ -42,8 +45,9 @@ def shingle_set(hashes: np.ndarray, width: int) -> np.ndarray:
 class Layout:
     """Blocks of the sketches in one size band.
 
-    A pair whose larger set is in the band differs in ``differences`` elements at most. ``spare``
-    blocks more than needed let a text leave out blocks that say little.
+    A pair whose larger set is in the band differs in ``differences`` elements at most, so in at
+    most as many blocks. ``spare`` blocks more than needed make sure that several are equal, and
+    let a text leave out its blocks without elements, which say nothing.
     """
 
     def __init__(self, band: int, percent: int):
@@ -51,15 +55,15 @@ class Layout:
         largest = math.ceil(BAND ** (band + 1)) - 1
         # |A xor B| = a + b - 2 i with 100 i >= percent (a + b - i), and b <= largest.
         self.differences = (100 - percent) * 2 * largest // (100 + percent)
-        needed = self.differences + 1
-        mean = self.low / needed
-        light = needed * math.exp(-mean) * (1 + mean)
-        self.spare = 0 if self.differences == 0 else math.ceil(1.2 * light + 3 * math.sqrt(light))
-        self.blocks = needed + self.spare
+        blocks = self.differences + 1 + math.ceil(MARGIN * (self.differences + 1))
+        empty = blocks * math.exp(-self.low / blocks)
+        self.spare = blocks - self.differences - 1 + math.ceil(empty + 2 * math.sqrt(empty))
+        self.blocks = self.differences + 1 + self.spare
+        self.bits = 64 * math.ceil(SKETCH * self.differences / 64)
         self.seed = np.uint64(band * 0x9E3779B97F4A7C15 % 2 ** 64)
 
     def keys(self, elements: np.ndarray) -> tuple[int, np.ndarray]:
-        """How many more blocks may be left out, and the keys of the blocks to join on.
+        """Least number of these keys that a similar text has too, and the keys of the blocks.
 
         The key of a block is the XOR of its set bits, scrambled; flipping a bit twice clears it.
         """
@@ -70,14 +74,17 @@ class Layout:
         starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
         sketch = np.zeros(self.blocks, np.uint64)
         sketch[block[starts]] = np.bitwise_xor.reduceat(mix(bit + np.uint64(1)), starts)
-        # A block with one element or none is light; content alone tells, so both texts agree.
-        counts = np.zeros(self.blocks, np.int64)
-        counts[block[starts]] = np.diff(np.r_[starts, len(bit)])
-        light = counts < 2
-        left = self.spare - int(light.sum())
         number = np.arange(self.blocks, dtype=np.uint64)
-        keys = mix(sketch ^ mix(number + self.seed))
-        return (left, keys[~light].view(np.int64)) if left >= 0 else (0, keys.view(np.int64))
+        keys = mix(sketch ^ mix(number + self.seed)).view(np.int64)
+        # Equal blocks are empty in both texts or in neither: at most so many of the equal ones are left out.
+        empty = self.blocks - len(starts)
+        return (self.spare - empty + 1, keys[block[starts]]) if empty <= self.spare else (1, keys)
+
+    def sketch(self, elements: np.ndarray) -> np.ndarray:
+        """Parity of the elements at each of ``bits`` places, as 64-bit numbers."""
+        place = mix(elements + self.seed + np.uint64(1)) % np.uint64(self.bits)
+        odd = np.bincount(place.astype(np.int64), minlength=self.bits) & 1
+        return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def band_of(size: int) -> int:
@@ -89,32 +96,40 @@ def band_of(size: int) -> int:
     return band
 
 
-TEXT, LONE, HEAD, MEMBER = KINDS_OF_ROWS = range(4)
-KINDS = len(KINDS_OF_ROWS)
+def class_node(elements: np.ndarray, seed: int = 0) -> int:
+    """Number of a set of shingles."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(elements.tobytes(), seed)).view(np.int64))
+
+
+TEXT, SKETCHED, LONE, HEAD, MEMBER = KINDS_OF_ROWS = range(5)
+KINDS, BANDS = len(KINDS_OF_ROWS), 128
 ABOUT = pa.struct([
-    ("spare", pa.int32()), ("first", pa.bool_()), ("size", pa.int64()), ("set_id", pa.binary()),
+    ("doc_id", pa.int64()), ("text_id", pa.int64()), ("size", pa.int64()), ("set_id", pa.binary()),
+    ("sketch", pa.list_(pa.int64())),
 ])
 SIGNED = pa.schema([
-    ("place", pa.int64()), ("doc", pa.int64()), ("tag", pa.int32()), ("key", pa.int64()), ("about", ABOUT),
+    ("place", pa.int64()), ("node", pa.int64()), ("tag", pa.int64()), ("key", pa.int64()), ("about", ABOUT),
 ])
 SIGNED_SQL = (
-    "place long, doc long, tag int, key long, about struct<spare:int, first:boolean, size:long, set_id:binary>"
+    "place long, node long, tag long, key long, "
+    "about struct<doc_id:long, text_id:long, size:long, set_id:binary, sketch:array<long>>"
 )
 
 
 class Signer:
     """Turns a batch of texts into rows of a few kinds.
 
-    TEXT: doc, size, set_id, and band and spare of one layout; ``first`` for the layout of its own
-    size, the others are of bands in which a larger partner may be. Texts without words have one
-    such row without set_id and spare. LONE: a key (in ``place``) and the only text of the batch
-    that has it. HEAD: the same where there are more, each of which is a MEMBER with that key.
-    Of equal sets in a batch only the first has keys. ``place`` deals rows out evenly, since a key
-    has one HEAD per batch however many texts share it.
+    TEXT: doc_id, text_id, size, set_id and node of a text; without set_id and node if it has no
+    words. SKETCHED: size and sketch of a node in a band: that of its own size, and those in which
+    a larger partner may be. LONE: a key (in ``place``) and the only node of the batch that has it.
+    HEAD: the same where there are more, each of which is a MEMBER with that key. Of equal sets in
+    a batch only the first has keys and sketches. ``place`` deals rows out evenly, since a key has one
+    HEAD per batch however many texts share it. ``tag`` holds the kind, the band, and for a key how
+    many keys of its text a similar one has at least.
     """
 
-    def __init__(self, width: int, percent: int):
-        self.width, self.percent = width, percent
+    def __init__(self, width: int, percent: int, seed: int = 0):
+        self.width, self.percent, self.seed = width, percent, seed
         self.layouts: dict[int, Layout] = {}
         self.hashes = WordHashes()
 
@@ -123,56 +138,59 @@ class Signer:
             self.layouts[band] = Layout(band, self.percent)
         return self.layouts[band]
 
-    def batch(self, docs: list[int], texts: list[str]) -> Iterator[pa.RecordBatch]:
-        rows, keys, owners, bands, seen = [], [], [], [], set()
-        for doc, text in zip(docs, texts, strict=True):
+    def batch(self, rows: list[tuple[int | None, int, str]]) -> Iterator[pa.RecordBatch]:
+        texts, sketches, keys, owners, marks, seen = [], [], [], [], [], set()
+        for doc_id, text_id, text in rows:
             elements = shingle_set(self.hashes.of(word_list(text)), self.width)
             size = len(elements)
             if not size:
-                rows.append((doc, None, None, True, 0, None))
+                texts.append((None, doc_id, text_id, 0, None))
                 continue
-            set_id, band, first = xxhash.xxh3_128_digest(elements.tobytes()), band_of(size), True
-            while first or size * 100 // self.percent >= BAND ** band:
-                left, own = self.layout(band).keys(elements)
-                rows.append((doc, band, left, first, size, set_id))
-                if set_id not in seen:
-                    keys.append(own)
-                    owners.append(np.full(len(own), doc, np.int64))
-                    bands.append(np.full(len(own), band, np.int32))
-                band, first = band + 1, False
-            seen.add(set_id)
-        doc, band, *about = zip(*rows, strict=True)
-        doc = np.array(doc, np.int64)
-        yield table_batch(
-            tag(np.array([b or 0 for b in band]), TEXT), place=spread(doc), doc=doc,
-            about=pa.StructArray.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(about, ABOUT, strict=True)], fields=list(ABOUT)
-            ),
-        )
+            node = class_node(elements, self.seed)
+            texts.append((node, doc_id, text_id, size, xxhash.xxh3_128_digest(elements.tobytes())))
+            if node in seen:
+                continue
+            seen.add(node)
+            band = band_of(size)
+            last = band_of(max(size, size * 100 // self.percent))
+            for band in range(band, last + 1):
+                layout = self.layout(band)
+                if not layout.differences:
+                    continue
+                due, own = layout.keys(elements)
+                sketches.append((node, band, size, layout.sketch(elements)))
+                keys.append(own)
+                owners.append(np.full(len(own), node, np.int64))
+                marks.append(np.full(len(own), due * BANDS + band, np.int64))
+        if texts:
+            node, doc_id, text_id, size, set_id = zip(*texts, strict=True)
+            yield signed_rows(np.full(len(node), TEXT), place=pa.array(text_id), node=pa.array(node, pa.int64()), about=about(
+                len(node), doc_id=doc_id, text_id=text_id, size=size, set_id=set_id))
         if not keys:
             return
-        key, owner, band = np.concatenate(keys), np.concatenate(owners), np.concatenate(bands)
+        node, band, size, sketch = zip(*sketches, strict=True)
+        node, band = np.array(node, np.int64), np.array(band)
+        yield signed_rows(band * KINDS + SKETCHED, place=spread(node + band), node=node, about=about(len(node), size=size, sketch=sketch))
+        key, owner, mark = np.concatenate(keys), np.concatenate(owners), np.concatenate(marks)
         order = np.argsort(key, kind="stable")
-        key, owner, band = key[order], owner[order], band[order]
+        key, owner, mark = key[order], owner[order], mark[order] * KINDS
         head = np.r_[True, key[1:] != key[:-1]]
         many = np.diff(np.r_[np.flatnonzero(head), len(key)]) > 1
-        yield table_batch(tag(band[head], np.where(many, HEAD, LONE)), place=key[head], doc=owner[head])
+        yield signed_rows(mark[head] + np.where(many, HEAD, LONE), place=key[head], node=owner[head])
         rest = ~head
-        yield table_batch(
-            tag(band[rest], MEMBER), place=spread(owner[rest] ^ key[rest]), doc=owner[rest], key=pa.array(key[rest])
-        )
+        yield signed_rows(mark[rest] + MEMBER, place=spread(owner[rest] ^ key[rest]), node=owner[rest], key=pa.array(key[rest]))
 
 
 def spread(values: np.ndarray) -> np.ndarray:
     return mix(values.view(np.uint64)).view(np.int64)
 
 
-def tag(band: np.ndarray, kind) -> np.ndarray:
-    """Band and kind of a row in one number."""
-    return (band * KINDS + kind).astype(np.int32)
+def about(rows: int, **columns) -> pa.StructArray:
+    made = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in ABOUT]
+    return pa.StructArray.from_arrays(made, fields=list(ABOUT))
 
 
-def table_batch(tags: np.ndarray, **columns) -> pa.RecordBatch:
+def signed_rows(tags: np.ndarray, **columns) -> pa.RecordBatch:
     columns["tag"] = tags
     return pa.RecordBatch.from_arrays([
         columns.get(f.name) if isinstance(columns.get(f.name), pa.Array)
@@ -180,79 +198,166 @@ def table_batch(tags: np.ndarray, **columns) -> pa.RecordBatch:
     ], schema=SIGNED)
 
 
-def signatures(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """The rows of ``Signer`` for all texts, less the keys that one text alone has.
+def signatures(documents: DataFrame, width: int, percent: int, seed: int) -> DataFrame:
+    """The rows of ``Signer`` for all texts, less the keys that one node of one batch alone has.
 
-    Columns: kind (HEAD stands for LONE too), key, doc, band and about. Every key moves once.
+    Columns: kind (HEAD stands for LONE too), key, node, band, due and about. Every key moves once.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(width, percent)
+        signer = Signer(width, percent, seed)
         for batch in batches:
-            if batch.num_rows:
-                yield from signer.batch(batch["doc_id"].to_pylist(), batch["text"].to_pylist())
+            columns = (batch[c].to_pylist() for c in ("doc_id", "text_id", "text"))
+            yield from signer.batch(list(zip(*columns, strict=True)))
 
-    made = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(sign, SIGNED_SQL)
+    made = documents.mapInArrow(sign, SIGNED_SQL)
     heads = F.count(F.lit(1)).over(Window.partitionBy("place"))
     kind = F.pmod("tag", F.lit(KINDS))
+    mark = F.floor(F.col("tag") / KINDS)
     counted = made.withColumn("heads", heads).filter((kind != LONE) | (F.col("heads") > 1))
     return counted.select(
-        F.when(kind == LONE, HEAD).otherwise(kind).alias("kind"), F.coalesce("key", "place").alias("key"), "doc",
-        F.floor(F.col("tag") / KINDS).cast("int").alias("band"), "about.*",
+        F.when(kind == LONE, HEAD).otherwise(kind).alias("kind"), F.coalesce("key", "place").alias("key"), "node",
+        F.pmod(mark, F.lit(BANDS)).cast("int").alias("band"), F.floor(mark / BANDS).cast("int").alias("due"), "about.*",
     )
 
 
-def verified(documents: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of document ids whose whole shingle sets are similar enough.
+def small(stored: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it has ``BROADCAST_ROWS`` rows at most."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
-    The texts of all partners of an ``a`` move to where the text of ``a`` is, about ``PARTNERS`` in
-    a group; each moves once per pair, and ``a`` once per group, and sets are made from them there. Rows that share an
-    id count as one document that is similar if any of its texts is.
-    """
-    pairs = materialize(pairs)
-    groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("groups"))
-    partners = pairs.join(groups, "a").select(
-        F.col("b").alias("_doc"), "a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("part"), F.lit(1).alias("role")
-    )
-    owners = groups.select(
-        F.col("a").alias("_doc"), "a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.lit(0).alias("role")
+
+def may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (band, a, b) whose sketches differ in no more bits than similar sets may differ in elements."""
+    side = lambda name: sketches.select("band", F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("sketch").alias(f"sketch_{name}"))
+    both = pairs.join(side("a"), ["band", "a"]).join(side("b"), ["band", "b"])
+    bits = F.aggregate(
+        F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
     )
-    sent = materialize(partners.unionByName(owners))
+    allowed = F.floor((100 - percent) * (F.col("size_a") + F.col("size_b")) / (100 + percent))
+    close = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
+    return both.filter(close).filter(bits <= allowed).select("a", "b")
+
+
+def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes with different labels that share a block and whose sketches allow a link.
+
+    ``rows`` has key, nodes (of the key), main (its most frequent label), node, label, size and
+    sketch. The nodes of a block meet in one task, those of a block of more than ``GROUP`` in one
+    task for every two parts of it. Every pair of different labels has a node outside the
+    largest label, so only those are compared with the others; pairs too far apart never leave the task.
+    """
+    parts = F.ceil(F.col("nodes") / GROUP).cast("int")
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+    dealt = rows.select(
+        "key", "node", "label", "size", "sketch", (F.col("label") != F.col("main")).alias("outer"), own.alias("own"),
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"),
+    ).select("*", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    dealt = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", F.desc("outer"))
+
+    def near(columns: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
+        node, label, size, outer, own, low, high, sketch = (np.concatenate(c) for c in zip(*columns, strict=True))
+        found = []
+        for x in range(int(outer.sum())):
+            y = slice(x + 1, None)
+            total, least = size[y] + size[x], np.minimum(size[y], size[x])
+            bits = np.bitwise_count(sketch[y] ^ sketch[x]).sum(1, dtype=np.int64)
+            good = (label[y] != label[x]) & ((own[y] != own[x]) | (low[x] == high[x]))
+            good &= (bits <= (100 - percent) * total // (100 + percent)) & (100 * least >= percent * (total - least))
+            partner = node[y][good]
+            if len(partner):
+                found.append((np.minimum(partner, node[x]), np.maximum(partner, node[x])))
+        return found
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        job, waiting = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = []
+            key, low, high = (np.asarray(batch[c]) for c in ("key", "low", "high"))
+            others = [batch[c].to_numpy(zero_copy_only=False) for c in ("node", "label", "size", "outer", "own", "low", "high")]
+            offsets, bits = np.asarray(batch["sketch"].offsets), np.asarray(batch["sketch"].values).view(np.uint64)
+            starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+            for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
+                if (key[start], low[start], high[start]) != job:
+                    found += near(waiting) if waiting else []
+                    job, waiting = (key[start], low[start], high[start]), []
+                sketch = bits[offsets[start]:offsets[stop]].reshape(stop - start, -1)
+                waiting.append((*(c[start:stop] for c in others), sketch))
+            if found:
+                yield pairs(found)
+        if waiting and (found := near(waiting)):
+            yield pairs(found)
+
+    def pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        a, b = (np.concatenate(c) for c in zip(*found, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int, seed: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole shingle sets are similar enough.
+
+    Nodes are dealt to tiles of about ``TILE``; a task compares one tile with another. A text
+    moves once per tile it has a partner in, never once per pair. Texts are looked up by a hash;
+    one whose set is not that of its node is left out.
+    """
+    pairs = materialize(pairs.distinct())
+    nodes = materialize(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    tiles = nodes.count() // TILE + 1
+    wanted = materialize(nodes.join(classes, "node").select("node", F.col("first.doc_id").alias("_doc"), F.col("first.text_id").alias("_text")))
+    texts = materialize(documents.join(
+        small(wanted), (F.col("text_id") == F.col("_text")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+    ).select("node", "text").distinct())
+    tile = lambda name: F.pmod(F.xxhash64(name), F.lit(tiles)).cast("int")
+    placed = materialize(pairs.select("a", "b", tile("a").alias("tile_a"), tile("b").alias("tile_b")))
+    owners = placed.select("tile_a", "tile_b", F.col("a").alias("node")).distinct().withColumn("partners", F.array().cast("array<long>"))
+    partners = placed.groupBy("tile_a", "tile_b", F.col("b").alias("node")).agg(F.collect_list("a").alias("partners"))
+    sent = owners.unionByName(partners).join(texts, "node")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, group, owned = WordHashes(), None, []
+        hashes, job, owned = WordHashes(), None, {}
         for batch in batches:
             found = []
-            rows = zip(batch["a"], batch["part"], batch["role"], batch["b"], batch["text"], strict=True)
-            for a, part, role, b, text in rows:
+            rows = zip(batch["tile_a"], batch["tile_b"], batch["node"], batch["partners"], batch["text"], strict=True)
+            for tile_a, tile_b, node, partners, text in rows:
                 elements = shingle_set(hashes.of(word_list(text)), width)
-                if (a, part) != group:
-                    group, owned = (a, part), []
-                if role == 0:
-                    owned.append(elements)
+                if class_node(elements, seed) != node:
                     continue
-                for other in owned:
+                if (tile_a, tile_b) != job:
+                    job, owned = (tile_a, tile_b), {}
+                if not len(partners):
+                    owned[node] = elements
+                for partner in partners:
+                    other = owned.get(partner)
+                    if other is None:
+                        continue
                     shared = len(np.intersect1d(elements, other, assume_unique=True))
                     if 100 * shared >= percent * (len(elements) + len(other) - shared):
-                        found.append((a, b))
-                        break
+                        found.append((partner, node))
             if found:
                 yield pd.DataFrame(found, columns=["a", "b"])
 
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    needed = texts.join(small(sent), F.col("doc_id") == F.col("_doc")).select("a", "part", "role", F.col("doc_id").alias("b"), "text")
-    dealt = needed.repartition("a", "part").sortWithinPartitions("a", "part", "role", "b")
+    dealt = sent.repartition("tile_a", "tile_b").sortWithinPartitions("tile_a", "tile_b", F.size("partners") > 0)
     return dealt.mapInPandas(compare, "a long, b long")
 
 
-def small(stored: DataFrame) -> DataFrame:
-    """A stored table, marked for broadcast if it has ``BROADCAST_ROWS`` rows at most."""
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
-
+def rare_blocks(signed: DataFrame) -> DataFrame:
+    """key, band, node and docs of the blocks to join on.
 
-def similar_size(percent: int):
-    """100 * smaller >= percent * larger, which similar sets satisfy."""
-    return 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
+    A similar pair has ``due`` keys in common at least. With all keys in one order, the rarest
+    first, either text can leave out its last due - 1 keys: the first common key has that many
+    after it in both. Keys that one node alone has went before; they would have been the rarest.
+    """
+    blocks = signed.filter(F.col("kind").isin(HEAD, MEMBER)).groupBy("key", "node").agg(
+        F.first("band").alias("band"), F.first("due").alias("due")
+    )
+    blocks = materialize(blocks)
+    shared = blocks.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
+    from_last = F.row_number().over(Window.partitionBy("node", "band").orderBy(F.desc("docs"), "key"))
+    kept = blocks.join(shared, "key").withColumn("from_last", from_last).filter("from_last >= due")
+    return kept.select("key", "band", "node", "docs")
 
 
 def linked_components(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -260,94 +365,67 @@ def linked_components(documents: DataFrame, width: int = 5, percent: int = 80) -
 
     Two texts link when their sets of distinct word shingles have at least ``percent`` hundredths
     of their union in common. Texts without words (null, empty, blank) link with nothing and are
-    their own component. Equal sets are one class with the smallest doc_id as representative, so
-    copies are never paired. ``doc_id`` is taken as a key: rows that repeat an id with equal text
-    are equal rows, and a null id is treated as the smallest number there is, shown as null again.
-
-    Steps: sign every text; keep one row per class; group equal blocks; compare every class with
-    the pivot it shares most blocks with; join what that has linked; compare every
-    pair of classes that share a block and are not in one component yet. A common block is left
-    out for texts that can spare it (see ``Layout``): a linked pair has another equal block.
+    their own component. Equal sets are one class, so copies are never paired. Every row
+    counts by its text: rows that share an id, null ids too, are linked by their own texts only. A null
+    id is never the smallest; component_id is null where nothing else is reachable. An empty
+    table gives an empty one; other columns are left out. A text is held whole, with its words.
+
+    Steps: sign every text; keep the rare blocks of each class; compare every class with the
+    pivot it shares most blocks with; join what that has linked; compare every pair of classes that
+    share a block and are not in one component yet. Should two sets get one number, all is
+    signed anew with another seed. What is stored on the way is deleted.
     """
-    lowest = -(2 ** 63)
-    keyed = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("doc_id"), "text"
-    )
-    signed = materialize(signatures(keyed, width, percent))
-    texts = signed.filter(F.col("kind") == TEXT)
-    classes = materialize(
-        texts.filter("first and set_id is not null").groupBy("set_id").agg(F.min("doc").alias("rep"), F.first("size").alias("size"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    given = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_id"), text.alias("text"))
+    spark, seed = documents.sparkSession, 0
+    while True:
+        with scope(spark):
+            signed = materialize(signatures(given, width, percent, seed))
+            texts = materialize(signed.filter(F.col("kind") == TEXT).select("doc_id", "text_id", "size", "set_id", "node"))
+            classes = materialize(texts.filter("node IS NOT NULL").groupBy("node").agg(
+                F.min(F.struct("doc_id", "text_id")).alias("first"), F.min("doc_id").alias("least"),
+                (F.min("set_id") != F.max("set_id")).alias("met"),
+            ))
+            if classes.filter("met").isEmpty():
+                labels = all_labels(given, signed, classes, width, percent, seed)
+                named = classes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
+                named = materialize(named)
+                roots = named.groupBy("label").agg(F.min("least").alias("component_id"))
+                by_node = named.join(roots, "label").select("node", "component_id")
+                return handed_on(texts.join(by_node, "node", "left").select(
+                    "doc_id", F.col("size").alias("n_shingles"),
+                    F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                ))
+        seed += 1
+
+
+def all_labels(documents: DataFrame, signed: DataFrame, classes: DataFrame, width: int, percent: int, seed: int) -> DataFrame:
+    """node and label of every class that is linked with another; takes the signed rows and deletes them."""
+    buckets = materialize(rare_blocks(signed))
+    sketches = materialize(
+        signed.filter(F.col("kind") == SKETCHED).join(small(materialize(buckets.select("node").distinct())), "node", "left_semi")
+        .groupBy("node", "band").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"))
     )
-    spares = texts.filter("set_id is not null").select("doc", "band", "spare").distinct()
-    named = materialize(
-        texts.filter("first and set_id is not null").select("doc", "set_id").join(classes, "set_id")
-        .select("doc", "rep", "size").distinct()
-    )
-    blocks = signed.filter(F.col("kind") != TEXT).select("key", "doc", "band").join(small(named), "doc").select(
-        "key", F.col("rep").alias("doc"), "size", "band"
-    )
-    shared = blocks.groupBy("key").agg(
-        F.count(F.lit(1)).alias("docs"), F.min("doc").alias("low"), F.max("doc").alias("high")
-    ).filter("low <> high").select("key", "docs")
-    buckets = materialize(blocks.join(shared, "key"))
+    discard(signed)
 
     # The text whose blocks are shared most is nearest to the middle of its group: it is the pivot
     # of a block, and a text is compared with the pivot it has most blocks in common with.
-    scores = materialize(buckets.groupBy("doc").agg(F.sum("docs").alias("score")))
-    ranked = buckets.join(small(scores), "doc")
-    pivots = ranked.groupBy("key").agg(F.max(F.struct("score", "doc", "size")).alias("pivot"))
-    stars = ranked.join(pivots, "key").filter("doc <> pivot.doc").select(
-        F.col("doc").alias("b"), F.col("size").alias("size_b"),
-        F.col("pivot.doc").alias("a"), F.col("pivot.size").alias("size_a"),
-    ).filter(similar_size(percent)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
-    most = F.min(F.struct((-F.col("times")).alias("less"), "a"))
-    checked = materialize(stars.groupBy("b").agg(most["a"].alias("a")))
-    links = materialize(verified(keyed, checked, width, percent).distinct())
+    scores = materialize(buckets.groupBy("node").agg(F.sum("docs").alias("score")))
+    ranked = buckets.join(small(scores), "node")
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("score", "node")).alias("pivot"))
+    stars = ranked.join(pivots, "key").filter("node <> pivot.node").groupBy(
+        "band", F.col("pivot.node").alias("a"), F.col("node").alias("b")
+    ).agg(F.count(F.lit(1)).alias("times"))
+    most = F.min(F.struct((-F.col("times")).alias("less"), "a", "band"))
+    checked = materialize(stars.groupBy("b").agg(most.alias("most")).select("most.band", "most.a", "b"))
+    links = materialize(verified(documents, may_link(checked, sketches, percent), classes, width, percent, seed).distinct())
 
     labels = materialize(components(links))
-    labelled = buckets.join(small(labels), F.col("doc") == F.col("node"), "left").select(
-        "key", "doc", "size", "band", "docs", F.coalesce("label", "doc").alias("label")
-    )
+    labelled = materialize(buckets.join(small(labels), "node", "left").select("key", "band", "node", F.coalesce("label", "node").alias("label")))
     groups = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("members"))
     split = groups.groupBy("key").agg(
-        F.count(F.lit(1)).alias("labels"), F.max(F.struct("members", "label")).alias("largest")
-    ).filter("labels > 1").select("key", F.col("largest.label").alias("main"))
-    open_rows = materialize(labelled.join(split, "key"))
-    common = open_rows.filter(F.col("docs") > COMMON).groupBy("doc", "band").agg(
-        F.count(F.lit(1)).alias("common")
-    )
-    # ``due``: of the blocks that a similar text has equal, the least number among the rows kept.
-    due = spares.join(common, ["doc", "band"], "left").select(
-        "doc", "band", (F.coalesce("common", F.lit(0)) > F.col("spare")).alias("at_risk"),
-        F.greatest(F.lit(1), F.col("spare") - F.coalesce("common", F.lit(0)) + 1).alias("due"),
-    )
-    kept = materialize(
-        open_rows.join(small(materialize(due)), ["doc", "band"]).filter((F.col("docs") <= COMMON) | F.col("at_risk"))
-        .select("key", "band", "doc", "size", "label", "main", "due")
-    )
-    # Every pair of different labels has a member outside the largest label of its block.
-    outer = kept.filter("label <> main").select(
-        "key", "band", F.col("doc").alias("x"), F.col("size").alias("size_a"), F.col("label").alias("label_x"),
-        F.col("due").alias("due_x"),
-    )
-    inner = kept.select(
-        "key", F.col("doc").alias("y"), F.col("size").alias("size_b"), F.col("label").alias("label_y"),
-        F.col("due").alias("due_y"), (F.col("label") != F.col("main")).alias("out_y"),
-    )
-    # Pairs of two outer members would come twice.
-    met = outer.join(inner, "key").filter("label_x <> label_y and (not out_y or x < y)").filter(similar_size(percent))
-    enough = met.groupBy("band", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
-        F.count(F.lit(1)).alias("blocks"), F.max(F.greatest("due_x", "due_y")).alias("due")
-    ).filter("blocks >= due")
-    rest = enough.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
-    more = verified(keyed, rest, width, percent)
-
-    final = components(links.unionByName(more))
-    found = classes.join(final, F.col("rep") == F.col("node"), "left").select(
-        "set_id", F.coalesce("label", "rep").alias("component")
-    )
-    joined = texts.filter("first").select("doc", "size", "set_id").join(found, "set_id", "left").select(
-        F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
-    )
-    hidden = lambda name: F.when(F.col(name) != lowest, F.col(name)).alias(name)
-    return joined.select(hidden("doc_id"), "n_shingles", hidden("component_id"))
+        F.count(F.lit(1)).alias("labels"), F.max(F.struct("members", "label")).alias("largest"), F.sum("members").alias("nodes")
+    ).filter("labels > 1").select("key", F.col("largest.label").alias("main"), "nodes")
+    open_rows = labelled.join(split, "key").join(sketches, ["node", "band"])
+    more = verified(documents, close_pairs(open_rows, percent), classes, width, percent, seed)
+    return materialize(components(links.unionByName(more)))

@@ -58,36 +58,72 @@ def test_components_equal_brute_force(spark, width, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(texts, width, percent)
 
 
-def test_common_blocks_are_compared_in_full(spark, monkeypatch):
-    monkeypatch.setattr(parity, "COMMON", 2)
+def test_small_tiles_and_no_spare_blocks(spark, monkeypatch):
+    monkeypatch.setattr(parity, "TILE", 3)
+    monkeypatch.setattr(parity, "GROUP", 2)
+    monkeypatch.setattr(parity, "MARGIN", 0)
     source = random.Random(9)
     texts = variants(source, 12)
     found = parity.linked_components(documents(spark, texts), 4, 85).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(texts, 4, 85)
 
 
-def test_null_ids_empty_table(spark):
-    frame = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (4, None)], "doc_id long, text string")
-    found = sorted(parity.linked_components(frame).collect(), key=lambda r: r["doc_id"] or -1)
-    assert [(r["doc_id"], r["component_id"]) for r in found] == [(None, None), (3, None), (3, None), (4, 4)]
+def test_near_misses_of_one_template(spark):
+    source = random.Random(10)
+    words = sentence(source, 200, 10**6).split()
+    texts = []
+    for i in range(80):
+        other = list(words)
+        for at in source.sample(range(200), source.choice([3, 6, 8, 12])):
+            other[at] = f"n{i}-{at}"
+        texts.append(" ".join(other))
+    found = parity.linked_components(documents(spark, texts), 4, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(texts, 4, 85)
+
+
+def test_null_ids_repeated_ids_and_empty_table(spark):
+    source = random.Random(11)
+    a, b, c = (sentence(source, 60, 10**6) for _ in range(3))
+    rows = [(None, a), (3, a), (3, a + " more"), (4, None), (None, b), (None, c), (5, c), (3, b), (9, a), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r["doc_id"], r["component_id"]) for r in parity.linked_components(frame).collect()), key=str)
+    wanted = [(None, 3), (3, 3), (3, 3), (4, 4), (None, 3), (None, 5), (5, 5), (3, 3), (9, 3), (None, None)]
+    assert found == sorted(wanted, key=str)
     assert parity.linked_components(documents(spark, [])).count() == 0
 
 
-def test_similar_sets_share_enough_blocks():
+def test_sets_with_one_number_are_signed_anew(spark, monkeypatch):
+    real = parity.class_node
+    monkeypatch.setattr(parity, "class_node", lambda elements, seed=0: 7 if seed == 0 else real(elements, seed))
+    texts = ["a b c d e f g", "h i j k l m n", "a b c d e f g"]
+    found = parity.linked_components(documents(spark, texts)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {0: 0, 1: 1, 2: 0}
+
+
+def test_nothing_stays_but_the_result(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("ontime.session.shared_folder", lambda spark: str(tmp_path))
+    made = parity.linked_components(documents(spark, variants(random.Random(12), 5)))
+    assert [str(p) for p in tmp_path.iterdir()] == [made.stored_path]
+
+
+def test_similar_sets_share_enough_blocks_and_bits():
     source = np.random.default_rng(1)
-    for size in (1, 2, 6, 7, 20, 90, 500, 3000):
+    for size in (7, 20, 90, 500, 3000):
         for percent in (80, 85):
-            own = source.integers(0, 2**63, size, dtype=np.uint64)
+            own = np.unique(source.integers(0, 2**63, size, dtype=np.uint64))
             for gone in range(0, size * (100 - percent) // 100 + 1, max(1, size // 40)):
-                other = np.unique(own[gone:])
-                mine = np.unique(own)
-                if 100 * len(other) < percent * len(mine):
+                other = own[gone:]
+                if 100 * len(other) < percent * len(own):
+                    continue
+                layout = parity.Layout(parity.band_of(len(own)), percent)
+                if not layout.differences:
+                    assert not gone
                     continue
-                layout = parity.Layout(parity.band_of(len(mine)), percent)
-                left, keys = layout.keys(mine)
-                left_other, keys_other = layout.keys(other)
-                shared = len(np.intersect1d(keys, keys_other))
-                assert shared > min(left, left_other)
+                due, keys = layout.keys(own)
+                due_other, keys_other = layout.keys(other)
+                assert len(np.intersect1d(keys, keys_other)) >= max(due, due_other)
+                bits = np.bitwise_count((layout.sketch(own) ^ layout.sketch(other)).view(np.uint64)).sum()
+                assert bits <= gone
 
 
 def test_long_chains_are_joined(spark):
