@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontime.llm import mixing, nbsvm, parity, sharding, tiling
 from ontime.llm.queries import MIX_SEED, SHARDS, WEIGHTS, table, with_domain
-from ontime.session import materialize, scratch_path
+from ontime.session import discard, handed_on, materialize, scope, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIX_SHARE = 0.8  # of the tokens that reach the mixture; no document is used twice
@@ -121,7 +121,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after the other; what a stage stored is deleted once the next has read it."""
+    docs, stored = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+        with scope(spark):
+            docs = handed_on(stage(spark, docs, sf_dir))
+        if stored is not None:
+            discard(stored)
+        stored = docs
     return docs
