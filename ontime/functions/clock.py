@@ -7,13 +7,9 @@ import math
 from pyspark.sql import Column, functions as F
 
 
-# HHMM without leading zeros: hours and minutes, minutes alone, or midnight as 2400.
-CLOCK_PATTERN = r"^(?:(?:1?\d|2[0-3])[0-5]\d|[1-5]?\d|2400)$"
-
-
 def is_clock_time(hhmm: Column) -> Column:
     """Whether an integer reads as HHMM from 0 to 2359, or as 2400."""
-    return hhmm.cast("string").rlike(CLOCK_PATTERN)
+    return (hhmm.between(0, 2359) & (hhmm % 100 < 60)) | (hhmm == 2400)
 
 
 def minute_of_day(hhmm: Column) -> Column:
