@@ -238,13 +238,14 @@ def may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return both.filter(close).filter(bits <= allowed).select("a", "b")
 
 
-def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def close_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs (a, b) of nodes with different labels that share a block and whose sketches allow a link.
 
     ``rows`` has key, nodes (of the key), main (its most frequent label), node, label, size and
     sketch. The nodes of a block meet in one task, those of a block of more than ``GROUP`` in one
     task for every two parts of it. Every pair of different labels has a node outside the
     largest label, so only those are compared with the others; pairs too far apart never leave the task.
+    With ``nearest`` a node has one pair per block and other label, the one whose sketches differ least.
     """
     parts = F.ceil(F.col("nodes") / GROUP).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
@@ -263,7 +264,12 @@ def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
             bits = np.bitwise_count(sketch[y] ^ sketch[x]).sum(1, dtype=np.int64)
             good = (label[y] != label[x]) & ((own[y] != own[x]) | (low[x] == high[x]))
             good &= (bits <= (100 - percent) * total // (100 + percent)) & (100 * least >= percent * (total - least))
-            partner = node[y][good]
+            chosen = np.flatnonzero(good)
+            if nearest and len(chosen) > 1:
+                chosen = chosen[np.lexsort((bits[chosen], label[y][chosen]))]
+                named = label[y][chosen]
+                chosen = chosen[np.r_[True, named[1:] != named[:-1]]]
+            partner = node[y][chosen]
             if len(partner):
                 found.append((np.minimum(partner, node[x]), np.maximum(partner, node[x])))
         return found
@@ -371,8 +377,8 @@ def linked_components(documents: DataFrame, width: int = 5, percent: int = 80) -
     table gives an empty one; other columns are left out. A text is held whole, with its words.
 
     Steps: sign every text; keep the rare blocks of each class; compare every class with the
-    pivot it shares most blocks with; join what that has linked; compare every pair of classes that
-    share a block and are not in one component yet. Should two sets get one number, all is
+    pivot it shares most blocks with; join what that has linked; then, of classes that share a block
+    and are not in one component yet, compare each with the nearest of another one, and at last every pair. Should two sets get one number, all is
     signed anew with another seed. What is stored on the way is deleted.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -420,12 +426,15 @@ def all_labels(documents: DataFrame, signed: DataFrame, classes: DataFrame, widt
     checked = materialize(stars.groupBy("b").agg(most.alias("most")).select("most.band", "most.a", "b"))
     links = materialize(verified(documents, may_link(checked, sketches, percent), classes, width, percent, seed).distinct())
 
-    labels = materialize(components(links))
-    labelled = materialize(buckets.join(small(labels), "node", "left").select("key", "band", "node", F.coalesce("label", "node").alias("label")))
-    groups = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("members"))
-    split = groups.groupBy("key").agg(
-        F.count(F.lit(1)).alias("labels"), F.max(F.struct("members", "label")).alias("largest"), F.sum("members").alias("nodes")
-    ).filter("labels > 1").select("key", F.col("largest.label").alias("main"), "nodes")
-    open_rows = labelled.join(split, "key").join(sketches, ["node", "band"])
-    more = verified(documents, close_pairs(open_rows, percent), classes, width, percent, seed)
-    return materialize(components(links.unionByName(more)))
+    # First the nearest pair of a node and another component, which joins most of them; then every pair left.
+    for nearest in (True, False):
+        labels = materialize(components(links))
+        labelled = materialize(buckets.join(small(labels), "node", "left").select("key", "band", "node", F.coalesce("label", "node").alias("label")))
+        groups = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("members"))
+        split = groups.groupBy("key").agg(
+            F.count(F.lit(1)).alias("labels"), F.max(F.struct("members", "label")).alias("largest"), F.sum("members").alias("nodes")
+        ).filter("labels > 1").select("key", F.col("largest.label").alias("main"), "nodes")
+        open_rows = labelled.join(split, "key").join(sketches, ["node", "band"])
+        more = verified(documents, close_pairs(open_rows, percent, nearest), classes, width, percent, seed)
+        links = materialize(links.unionByName(more))
+    return materialize(components(links))
