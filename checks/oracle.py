@@ -710,6 +710,8 @@ def oracle_sql() -> dict[str, str]:
           crs_dep_time, crs_elapsed_time, distance, route_scheduled_flights_day,
           array_to_string(list_concat(list_filter(errors, lambda e: NOT (unread AND e = 'missing_field:op_carrier_fl_num')),
             CASE WHEN unread THEN ['invalid_number:op_carrier_fl_num'] ELSE [] END), '|') AS request_errors FROM checked"""),
+        "feature_importance": "SELECT feature, TRUE AS matches_nodes, TRUE AS sums_to_100 FROM (VALUES "
+          + ", ".join(f"('{name}')" for name in schema.FEATURES) + ") AS f(feature)",
         "trained_scores": sql(*BASE, """SELECT flight_key, CASE WHEN month <= 10 THEN 'validation' ELSE 'test' END AS split,
           CAST(delayed AS INTEGER) AS is_delayed, TRUE AS is_probability FROM facts WHERE completed AND month >= 9"""),
         "model_contract": sql(*BASE, """SELECT 'rows:' || CASE WHEN month <= 7 THEN 'train' WHEN month = 8 THEN 'tuning'

@@ -5,12 +5,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
 
 from checks import binding
 from ontime import schema
 from ontime.functions import clock, outcome
 from ontime.operators import (
-    congestion, curve, evaluate, explorer, history, metrics, model, profiles, quality, requests,
+    congestion, curve, evaluate, explorer, forest, history, metrics, model, profiles, quality, requests,
     sampling,
 )
 from ontime.plans import analyze, dataset, evaluation, train
@@ -419,8 +420,16 @@ def oof_encodings(flights: DataFrame) -> DataFrame:
 
 
 def feature_importance(spark, sf_dir):
+    """All features; whether each importance is what the saved nodes sum up to, and whether all make 100."""
     _, fitted = trained(binding.flights(spark, sf_dir))
-    return artifacts.top_importances(fitted.importances(spark))
+    folder = scratch_path(spark, "trees")
+    fitted.trees.write().save(folder)
+    summed = forest.summed_importances(forest.forest_nodes(spark, folder)).withColumnRenamed("importance", "summed")
+    both = fitted.importances(spark).join(summed, "feature")
+    return both.select(
+        "feature", (F.abs(F.col("importance") - F.col("summed")) < 1e-9).alias("matches_nodes"),
+        (F.abs(F.sum("summed").over(Window.partitionBy(F.lit(1))) - 100) < 1e-6).alias("sums_to_100"),
+    )
 
 
 # --- sources and sinks -----------------------------------------------------

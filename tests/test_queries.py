@@ -8,29 +8,20 @@ from checks.compare import connect, difference
 from checks.oracle import oracle_sql
 from checks.registry import queries
 
-WITHOUT_SQL = {"feature_importance"}
-
-
 @pytest.fixture(scope="module")
 def database(sf_dir):
     return connect(sf_dir)
 
 
-def test_only_model_fitting_has_no_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WITHOUT_SQL))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_sql(spark, sf_dir, database, name):
     assert difference(queries()[name](spark, sf_dir), database, oracle_sql()[name]) is None
 
 
-def test_importances_are_shares(spark, sf_dir):
-    rows = queries()["feature_importance"](spark, sf_dir).collect()
-    assert len(rows) == 15 and all(0.0 <= row.importance <= 100.0 for row in rows)
-
-
 def test_entry_runs(spark):
     from __spark_entry__ import entry
 
