@@ -30,6 +30,8 @@ WIDTH = 2 ** 24  # bits of a block
 SKETCH = 4  # bits of the stored sketch per difference that a similar pair may have
 BROADCAST_ROWS = 500_000  # rows of a few numbers that a broadcast may hold
 GROUP = 2_000  # nodes of a block that a task compares with each other
+FIRST = 8  # blocks that a node names, so that a pair is told once
+LAST = np.iinfo(np.int64).max  # above all keys
 TILE = 500  # texts of a tile, whose sets a task holds
 
 
@@ -238,25 +240,34 @@ def may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return both.filter(close).filter(bits <= allowed).select("a", "b")
 
 
+def first_blocks(rows: DataFrame) -> DataFrame:
+    """node and first, the ``FIRST`` smallest keys of its rows; of fewer keys the last one is repeated."""
+    keys = F.slice(F.sort_array(F.collect_set("key")), 1, FIRST)
+    found = rows.groupBy("node").agg(keys.alias("first"))
+    return found.select("node", F.concat("first", F.array_repeat(F.element_at("first", -1), F.lit(FIRST) - F.size("first"))).alias("first"))
+
+
 def close_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs (a, b) of nodes with different labels that share a block and whose sketches allow a link.
 
-    ``rows`` has key, nodes (of the key), main (its most frequent label), node, label, size and
-    sketch. The nodes of a block meet in one task, those of a block of more than ``GROUP`` in one
+    ``rows`` has key, nodes (of the key), main (its most frequent label), node, label, size,
+    sketch and first (see ``first_blocks``). The nodes of a block meet in one task, those of a block of more than ``GROUP`` in one
     task for every two parts of it. Every pair of different labels has a node outside the
     largest label, so only those are compared with the others; pairs too far apart never leave the task.
     With ``nearest`` a node has one pair per block and other label, the one whose sketches differ least.
+    Else a pair is told in the first block that both nodes name only; without one, in every block they
+    share. The sketches of a linked pair allow it in any block, so none is lost.
     """
     parts = F.ceil(F.col("nodes") / GROUP).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
     dealt = rows.select(
-        "key", "node", "label", "size", "sketch", (F.col("label") != F.col("main")).alias("outer"), own.alias("own"),
+        "key", "node", "label", "size", "sketch", "first", (F.col("label") != F.col("main")).alias("outer"), own.alias("own"),
         F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"),
     ).select("*", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     dealt = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", F.desc("outer"))
 
-    def near(columns: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
-        node, label, size, outer, own, low, high, sketch = (np.concatenate(c) for c in zip(*columns, strict=True))
+    def near(key: int, columns: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
+        node, label, size, outer, own, low, high, sketch, first = (np.concatenate(c) for c in zip(*columns, strict=True))
         found = []
         for x in range(int(outer.sum())):
             y = slice(x + 1, None)
@@ -269,6 +280,10 @@ def close_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 chosen = chosen[np.lexsort((bits[chosen], label[y][chosen]))]
                 named = label[y][chosen]
                 chosen = chosen[np.r_[True, named[1:] != named[:-1]]]
+            if not nearest:
+                theirs = first[y][chosen]
+                told = np.where(np.isin(theirs, first[x]), theirs, LAST).min(axis=1, initial=LAST)
+                chosen = chosen[(told == key) | (told == LAST)]
             partner = node[y][chosen]
             if len(partner):
                 found.append((np.minimum(partner, node[x]), np.maximum(partner, node[x])))
@@ -283,16 +298,17 @@ def close_pairs(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
             key, low, high = (np.asarray(batch[c]) for c in ("key", "low", "high"))
             others = [batch[c].to_numpy(zero_copy_only=False) for c in ("node", "label", "size", "outer", "own", "low", "high")]
             offsets, bits = np.asarray(batch["sketch"].offsets), np.asarray(batch["sketch"].values).view(np.uint64)
+            first = np.asarray(batch["first"].flatten()).reshape(-1, FIRST)
             starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
             for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
                 if (key[start], low[start], high[start]) != job:
-                    found += near(waiting) if waiting else []
+                    found += near(job[0], waiting) if waiting else []
                     job, waiting = (key[start], low[start], high[start]), []
                 sketch = bits[offsets[start]:offsets[stop]].reshape(stop - start, -1)
-                waiting.append((*(c[start:stop] for c in others), sketch))
+                waiting.append((*(c[start:stop] for c in others), sketch, first[start:stop]))
             if found:
                 yield pairs(found)
-        if waiting and (found := near(waiting)):
+        if waiting and (found := near(job[0], waiting)):
             yield pairs(found)
 
     def pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -434,7 +450,8 @@ def all_labels(documents: DataFrame, signed: DataFrame, classes: DataFrame, widt
         split = groups.groupBy("key").agg(
             F.count(F.lit(1)).alias("labels"), F.max(F.struct("members", "label")).alias("largest"), F.sum("members").alias("nodes")
         ).filter("labels > 1").select("key", F.col("largest.label").alias("main"), "nodes")
-        open_rows = labelled.join(split, "key").join(sketches, ["node", "band"])
+        open_rows = materialize(labelled.join(split, "key"))
+        open_rows = open_rows.join(sketches, ["node", "band"]).join(small(materialize(first_blocks(open_rows))), "node")
         more = verified(documents, close_pairs(open_rows, percent, nearest), classes, width, percent, seed)
         links = materialize(links.unionByName(more))
     return materialize(components(links))
