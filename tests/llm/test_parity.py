@@ -68,6 +68,25 @@ def test_small_tiles_and_no_spare_blocks(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(texts, 4, 85)
 
 
+@pytest.mark.parametrize("kept", [1, 8])
+def test_pairs_of_many_blocks_are_told_once(spark, monkeypatch, kept):
+    """30 nodes of one sketch in 5 to 20 blocks each; with few named blocks some pairs come again, none is lost."""
+    monkeypatch.setattr(parity, "FIRST", kept)
+    source = random.Random(13)
+    sketch = [source.randrange(2**62) for _ in range(2)]
+    blocks = {node: set(source.sample(range(-10, 10), source.randint(5, 20))) for node in range(30)}
+    rows = [(key, 30, 0, node, node, 100, sketch) for node, keys in blocks.items() for key in keys]
+    given = spark.createDataFrame(rows, "key long, nodes long, main long, node long, label long, size long, sketch array<long>")
+    given = given.join(parity.first_blocks(given), "node")
+    told = sorted((r["a"], r["b"]) for r in parity.close_pairs(given, 85, False).collect())
+    wanted = [(x, y) for x in range(30) for y in range(x + 1, 30) if blocks[x] & blocks[y]]
+    assert sorted(set(told)) == wanted
+    every = sum(len(blocks[x] & blocks[y]) for x, y in wanted)
+    assert len(told) < every / 2 if kept == 8 else len(told) < every
+    nearest = {(r["a"], r["b"]) for r in parity.close_pairs(given, 85, True).collect()}
+    assert nearest == set(wanted)
+
+
 def test_near_misses_of_one_template(spark):
     source = random.Random(10)
     words = sentence(source, 200, 10**6).split()
