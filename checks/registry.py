@@ -193,7 +193,8 @@ def history_defaults(flights: DataFrame) -> DataFrame:
     legs = materialize(slots.groupBy(*history.LEG_DAY).agg(
         *[F.sum(m).alias(m) for m in history.MEASURES]
     ))
-    return rounded(profiles.history_defaults(weights, legs), *schema.HISTORY_FEATURES)
+    states = profiles.history_states(weights, legs)
+    return rounded(profiles.history_defaults(states), *schema.HISTORY_FEATURES)
 
 
 def schedule_defaults(flights: DataFrame) -> DataFrame:

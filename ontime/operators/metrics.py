@@ -8,16 +8,17 @@ from ontime import schema
 from ontime.functions import clock, outcome
 from ontime.functions.ratios import percentage
 from ontime.operators.ranks import exact_quantiles, value_counts
+from ontime.session import materialize
 
 
 def overview(flights: DataFrame) -> DataFrame:
     """One row of headline figures.
 
     Flights are first reduced to one row per distinct arrival delay; the totals and the exact
-    percentiles both come from that small table.
+    percentiles both come from that small table, which is stored: the flights are read once.
     """
     flown = outcome.is_completed()
-    by_delay = flights.groupBy(F.when(flown, F.col("arr_delay")).alias("delay")).agg(
+    by_delay = materialize(flights.groupBy(F.when(flown, F.col("arr_delay")).alias("delay")).agg(
         F.count(F.lit(1)).alias("flights"),
         F.count_if(flown).alias("completed"),
         F.count_if(outcome.is_delayed()).alias("delayed"),
@@ -25,7 +26,7 @@ def overview(flights: DataFrame) -> DataFrame:
         F.count_if(F.col("diverted") == 1).alias("diverted"),
         F.sum("dep_delay").alias("departure_delay"),
         F.count("dep_delay").alias("departures"),
-    )
+    ))
     totals = by_delay.agg(
         F.coalesce(F.sum("flights"), F.lit(0)).alias("flight_count"),
         F.sum("completed").alias("completed_flight_count"),
@@ -42,18 +43,17 @@ def overview(flights: DataFrame) -> DataFrame:
         by_delay.filter(F.col("delay").isNotNull()).select("delay", "completed"),
         {"median": 0.5, "p90": 0.9}, value="delay", weight="completed",
     ).select(F.struct("median", "p90")).scalar()
-    count = F.col
     return totals.select(
         "flight_count", "completed_flight_count", "delayed_flight_count",
         "cancelled_flight_count", "diverted_flight_count", "average_arrival_delay_minutes",
         quantiles.getField("median").alias("median_arrival_delay_minutes"),
         quantiles.getField("p90").alias("p90_arrival_delay_minutes"),
         "maximum_arrival_delay_minutes", "average_departure_delay_minutes",
-        percentage(count("delayed_flight_count"), count("completed_flight_count"))
+        percentage(F.col("delayed_flight_count"), F.col("completed_flight_count"))
         .alias("delayed_flight_percentage"),
-        percentage(count("cancelled_flight_count"), count("flight_count"))
+        percentage(F.col("cancelled_flight_count"), F.col("flight_count"))
         .alias("cancelled_flight_percentage"),
-        percentage(count("diverted_flight_count"), count("flight_count"))
+        percentage(F.col("diverted_flight_count"), F.col("flight_count"))
         .alias("diverted_flight_percentage"),
     )
 
@@ -119,10 +119,10 @@ def numeric_summary(
 ) -> DataFrame:
     """Count, mean, standard deviation, extremes and quartiles of each variable.
 
-    Everything is computed from the table of distinct values, so the fact table is read once and
-    never sorted.
+    Everything is computed from the stored table of distinct values, so the fact table is read once
+    and never sorted.
     """
-    counts = value_counts(study_frame(flights), list(variables))
+    counts = materialize(value_counts(study_frame(flights), list(variables)))
     value, n = F.col("value"), F.col("n")
     means = counts.groupBy("variable").agg(
         F.sum("n").alias("count"), (F.sum(value * n) / F.sum("n")).alias("mean"),
@@ -154,23 +154,16 @@ def complete_cases(
 def _pearson(cases: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Pearson coefficients of column pairs as ``(variable_x, variable_y, correlation)``.
 
-    A first pass finds means and extremes, a second one sums the products of centred values, so
-    large values lose no digits. A constant variable has a null coefficient, itself included.
+    One scan: co-moments are kept centred while they grow and merge, so large values lose no digits
+    and no pass for the means is needed. A constant variable has a null coefficient, itself included.
     """
     names = sorted({name for pair in pairs for name in pair})
-    profile = cases.agg(
-        F.array(*[F.avg(name) for name in names]).alias("means"),
-        F.array(*[F.min(name) < F.max(name) for name in names]).alias("varies"),
-    ).select(F.struct("*")).scalar()
-    means, varies = profile.getField("means"), profile.getField("varies")
-    centred = cases.select(
-        *[(F.col(name) - F.get(means, F.lit(i))).alias(name) for i, name in enumerate(names)]
-    )
     products = sorted({tuple(sorted(pair)) for pair in pairs} | {(name, name) for name in names})
     place = {pair: i for i, pair in enumerate(products)}
-    sums = centred.agg(
-        F.array(*[F.sum(F.col(x) * F.col(y)) for x, y in products]).alias("sums")
-    ).withColumn("varies", varies)
+    sums = cases.agg(
+        F.array(*[F.covar_pop(x, y) for x, y in products]).alias("sums"),
+        F.array(*[F.min(name) < F.max(name) for name in names]).alias("varies"),
+    )
     wanted = F.array(*[
         F.struct(
             F.lit(x).alias("x"), F.lit(y).alias("y"),

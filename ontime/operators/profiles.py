@@ -11,7 +11,7 @@ from ontime.operators.attach import FeatureTable, attach
 from ontime.operators.congestion import SLOT, schedule_tables
 from ontime.operators.history import LEG_DAY, MEASURES, rolling_history
 from ontime.operators.ranks import exact_quantiles
-from ontime.session import materialize
+from ontime.session import materialize, materialize_all
 
 FRAME_SLOT = [*SLOT, "month", "day_of_week", "departure_hour", "arrival_hour"]
 
@@ -24,15 +24,18 @@ def frame_slots(base: DataFrame) -> DataFrame:
     return base.groupBy(*FRAME_SLOT).agg(F.count(F.lit(1)).alias("weight"))
 
 
-def _latest_days(weights: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    return weights.groupBy(*keys).agg(F.max("fl_date").alias("fl_date"))
+def history_states(weights: DataFrame, legs: DataFrame, levels: tuple[str, ...] = tuple(schema.HISTORY_LEVELS)) -> dict[str, DataFrame]:
+    """By level, the history of every key on every day with model rows, and how many carry it.
 
-
-def _weighted_history(weights: DataFrame, legs: DataFrame, level: str) -> DataFrame:
-    """History features of a level with the number of model rows carrying them."""
-    keys, _ = schema.HISTORY_LEVELS[level]
-    days = weights.groupBy("fl_date", *keys).agg(F.sum("weight").alias("weight"))
-    return days.join(rolling_history(legs, level), ["fl_date", *keys], "left")
+    One row per day and key, stored: defaults and latest values both read it, so that each level
+    rolls once.
+    """
+    rolled = {}
+    for level in levels:
+        keys, _ = schema.HISTORY_LEVELS[level]
+        days = weights.groupBy("fl_date", *keys).agg(F.sum("weight").alias("weight"))
+        rolled[level] = days.join(rolling_history(legs, level), ["fl_date", *keys], "left")
+    return materialize_all(rolled)
 
 
 def _medians(long: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -48,31 +51,35 @@ def _medians(long: DataFrame, names: tuple[str, ...]) -> DataFrame:
     ])
 
 
-def history_defaults(weights: DataFrame, legs: DataFrame) -> DataFrame:
-    """Median of each history feature over the model rows, in one row.
+def history_defaults(states: dict[str, DataFrame]) -> DataFrame:
+    """Median of each history feature of the given levels over the model rows, in one row.
 
     Features repeat for all rows of a day and key, so the medians are weighted medians over the
-    daily tables and the fact table is not touched.
+    daily states and the fact table is not touched.
     """
     parts = [
-        _weighted_history(weights, legs, level).unpivot(
-            ["weight"], schema.history_features(level), "feature", "value"
-        )
-        for level in schema.HISTORY_LEVELS
+        state.unpivot(["weight"], schema.history_features(level), "feature", "value")
+        for level, state in states.items()
     ]
-    return _medians(reduce(DataFrame.unionByName, parts), schema.HISTORY_FEATURES)
+    names = tuple(name for level in states for name in schema.history_features(level))
+    return _medians(reduce(DataFrame.unionByName, parts), names)
+
 
+def history_profile(state: DataFrame, level: str, defaults: DataFrame) -> DataFrame:
+    """Latest known features per key of a level, the default where one is unknown.
 
-def history_profile(weights: DataFrame, legs: DataFrame, level: str, defaults: DataFrame) -> DataFrame:
-    """Latest known features per key of a level, the default where one is unknown."""
+    The features of the latest day are kept while aggregating; partial results merge before the
+    shuffle and nothing is joined.
+    """
     keys, _ = schema.HISTORY_LEVELS[level]
-    latest = _latest_days(weights, keys).join(
-        rolling_history(legs, level), ["fl_date", *keys], "left"
+    names = schema.history_features(level)
+    latest = state.groupBy(*keys).agg(
+        F.max("fl_date").alias("profile_date"), F.max_by(F.struct(*names), "fl_date").alias("_latest")
     )
     fallback = _as_scalar(defaults)
     return latest.select(
-        *keys, F.col("fl_date").alias("profile_date"),
-        *[_or_default(F.col(name), fallback, name) for name in schema.history_features(level)],
+        *keys, "profile_date",
+        *[_or_default(F.col("_latest").getField(name), fallback, name) for name in names],
     )
 
 
@@ -103,10 +110,11 @@ def schedule_profile(volumes: DataFrame, name: str, defaults: DataFrame) -> Data
 def history_profiles(
     weights: DataFrame, slots: DataFrame, levels: tuple[str, ...] = tuple(schema.HISTORY_LEVELS)
 ) -> dict[str, DataFrame]:
-    """Defaults and latest history of the levels, by table name."""
+    """Defaults and latest history of the levels, by table name; defaults cover those levels."""
     legs = materialize(slots.groupBy(*LEG_DAY).agg(*[F.sum(m).alias(m) for m in MEASURES]))
-    defaults = materialize(history_defaults(weights, legs))
-    tables = {f"history_{n}": history_profile(weights, legs, n, defaults) for n in levels}
+    states = history_states(weights, legs, levels)
+    defaults = materialize(history_defaults(states))
+    tables = {f"history_{n}": history_profile(state, n, defaults) for n, state in states.items()}
     return {"history_defaults": defaults, **tables}
 
 
@@ -147,7 +155,7 @@ class Profiles:
             **history_profiles(weights, slots), **schedule_profiles(weights, slots),
             "history_cutoff": history_cutoff(weights),
         }
-        return cls({name: materialize(table) for name, table in tables.items()})
+        return cls(materialize_all(tables))
 
     def _feature_table(self, name: str, keys: tuple[str, ...]) -> FeatureTable:
         table = self.tables[name].drop("profile_date")

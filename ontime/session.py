@@ -5,10 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+WRITERS = 4  # tables stored at the same time by one job
+
 
 def create_session(app_name: str = "ontime", master: str | None = None) -> SparkSession:
     """Session in UTC; the number of shuffle partitions is left to the cluster and to AQE."""
@@ -54,6 +58,15 @@ def materialize(data: DataFrame) -> DataFrame:
     return stored
 
 
+def materialize_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Store independent frames, a few at a time, so that small ones do not wait for each other."""
+    def store(frame: DataFrame) -> DataFrame:
+        return inheritable_thread_target(frame.sparkSession)(materialize)(frame)
+
+    with ThreadPoolExecutor(WRITERS) as writers:
+        return dict(zip(frames, writers.map(store, frames.values()), strict=True))
+
+
 _open_scopes: list[set[str]] = []
 
 
