@@ -652,6 +652,31 @@ def category_encodings() -> str:
                  FROM ({rows}), overall GROUP BY category, level""")
 
 
+def oof_encodings() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS category, {value} AS level, flight_key % 5 AS fold, delayed FROM train" for name, value in CATEGORIES.items()
+    )
+    others = "(delayed AND t.fold <> f.fold)", "(t.fold <> f.fold)"
+    return sql(*BASE, "train AS (SELECT * FROM facts WHERE completed AND month <= 7)",
+               "overall AS (SELECT CAST(COUNT(*) FILTER (delayed) AS DOUBLE) / COUNT(*) AS o FROM train)",
+               f"""SELECT category, level, CAST(f.fold AS INTEGER) AS fold,
+                 {r6(f"(COUNT(*) FILTER {others[0]} + 20 * ANY_VALUE(o)) / (COUNT(*) FILTER {others[1]} + 20)", 9)} AS rate
+                 FROM ({rows}) AS t, overall, range(5) AS f(fold) GROUP BY category, level, f.fold""")
+
+
+def staged_auc() -> str:
+    """The rank-sum form of the AUC, ties sharing their mean rank; precision by running sums."""
+    return sql(*BASE, SCORED, """staged AS (SELECT CAST(i AS INTEGER) AS trees, label,
+        CAST(ROUND(score * 10000) * i + (flight_key * (31 + i)) % 20000 AS DOUBLE) AS margin FROM scored, range(1, 13) AS r(i))""",
+      "points AS (SELECT trees, margin, COUNT(*) AS a, SUM(label) AS p FROM staged GROUP BY trees, margin)",
+      """placed AS (SELECT *, SUM(a) OVER up AS upto, SUM(a) OVER down AS alerts, SUM(p) OVER down AS hits FROM points
+        WINDOW up AS (PARTITION BY trees ORDER BY margin), down AS (PARTITION BY trees ORDER BY margin DESC))""",
+      f"""SELECT trees, CAST(SUM(a) AS BIGINT) AS sample_count, CAST(SUM(p) AS BIGINT) AS positive_count,
+        {r6("(SUM(p * (upto - (a - 1) / 2.0::DOUBLE)) - SUM(p) * (SUM(p) + 1) / 2.0::DOUBLE) / (CAST(SUM(p) AS DOUBLE) * (SUM(a) - SUM(p)))")} AS roc_auc,
+        {r6("SUM(p * CAST(hits AS DOUBLE) / alerts) / SUM(p)")} AS average_precision
+        FROM placed GROUP BY trees""")
+
+
 REPORTS = {
     "overview": ("overview", []), "flight_status": ("status_distribution", ["flight_status"]),
     "missing_values": ("missing_values", ["column"]), "monthly_metrics": ("punctuality_by_month", ["month"]),
@@ -713,16 +738,17 @@ def oracle_sql() -> dict[str, str]:
         "feature_importance": "SELECT feature, TRUE AS matches_nodes, TRUE AS sums_to_100 FROM (VALUES "
           + ", ".join(f"('{name}')" for name in schema.FEATURES) + ") AS f(feature)",
         "trained_scores": sql(*BASE, """SELECT flight_key, CASE WHEN month <= 10 THEN 'validation' ELSE 'test' END AS split,
-          CAST(delayed AS INTEGER) AS is_delayed, TRUE AS is_probability FROM facts WHERE completed AND month >= 9"""),
+          CAST(delayed AS INTEGER) AS is_delayed, TRUE AS is_probability, TRUE AS matches_nodes FROM facts WHERE completed AND month >= 9"""),
         "model_contract": sql(*BASE, """SELECT 'rows:' || CASE WHEN month <= 7 THEN 'train' WHEN month = 8 THEN 'tuning'
             WHEN month <= 10 THEN 'validation' ELSE 'test' END AS figure, CAST(COUNT(*) AS DOUBLE) AS value
           FROM facts WHERE completed GROUP BY 1 UNION ALL SELECT 'features', 87.0::DOUBLE UNION ALL
           SELECT 'importance', 100.0::DOUBLE UNION ALL SELECT 'better_than_chance', 1.0::DOUBLE"""),
-        "oof_encodings": sql(*BASE, f"""t AS (SELECT op_unique_carrier AS level, flight_key % 5 AS fold, delayed FROM facts
-            WHERE completed AND month <= 7 AND op_unique_carrier IS NOT NULL)""",
-          "o AS (SELECT CAST(COUNT(*) FILTER (delayed) AS DOUBLE) / COUNT(*) AS o FROM t)",
-          f"""SELECT level, CAST(f AS INTEGER) AS fold, {r6('(COUNT(*) FILTER (delayed AND fold <> f) + 20 * ANY_VALUE(o)) / (COUNT(*) FILTER (fold <> f) + 20)', 9)} AS rate
-          FROM t, o, range(5) AS folds(f) GROUP BY level, f"""),
+        "oof_encodings": oof_encodings(),
+        "staged_auc": staged_auc(),
+        "scored_requests": sql(FLIGHTS, REQUESTS, CHECKED, """SELECT flight_key, flight_date, provided AS provided_volumes,
+            CASE WHEN provided = 6 THEN 'provided_daily_schedule' WHEN provided > 0 THEN 'typical_schedule_profile_with_overrides'
+              ELSE 'typical_schedule_profile' END AS schedule_context_source,
+            TRUE AS matches_nodes, TRUE AS is_probability FROM checked WHERE len(errors) = 0"""),
         "form_requests": sql(FLIGHTS, """SELECT row_key, CAST(fl_date AS VARCHAR) AS flight_date, CAST(month(fl_date) AS INTEGER) AS month,
           CAST(day(fl_date) AS INTEGER) AS day_of_month, CAST(isodow(fl_date) AS INTEGER) AS day_of_week,
           crs_dep_time, crs_arr_time FROM flights WHERE crs_dep_time IS NOT NULL"""),

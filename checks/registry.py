@@ -12,9 +12,9 @@ from ontime import schema
 from ontime.functions import clock, outcome
 from ontime.operators import (
     congestion, curve, evaluate, explorer, forest, history, metrics, model, profiles, quality, requests,
-    sampling,
+    sampling, stages,
 )
-from ontime.plans import analyze, dataset, evaluation, train
+from ontime.plans import analyze, dataset, evaluation, score, train
 from ontime.session import materialize, scratch_path
 from ontime.sources import artifacts, sinks, tables
 
@@ -386,12 +386,55 @@ def trained(flights: DataFrame):
     return frame, model.fit(frame, CHECK_TREES)
 
 
+def saved_nodes(spark, fitted) -> DataFrame:
+    folder = scratch_path(spark, "trees")
+    fitted.trees.write().save(folder)
+    return forest.forest_nodes(spark, folder)
+
+
+def with_walk(scored: DataFrame, rows: DataFrame, fitted, key: str) -> DataFrame:
+    """``scored`` with matches_nodes: whether walking the saved nodes gives the same probability."""
+    vectors = model.assemble(model.encode(rows, fitted.encodings, fitted.prior)).select(key, "features")
+    walked = forest.walked_scores(
+        vectors, saved_nodes(rows.sparkSession, fitted), [key], fitted.trees.getNumTrees, CHECK_TREES.depth
+    )
+    same = F.abs(F.col("delay_probability") - F.col("walked_probability")) < 1e-9
+    return scored.join(walked, key, "left").withColumn("matches_nodes", F.coalesce(same, F.lit(False)))
+
+
 def trained_scores(flights: DataFrame) -> DataFrame:
-    """Every validation and test flight once, with a probability between 0 and 1."""
+    """Every validation and test flight once, with a probability that walking the saved nodes gives too."""
     frame, fitted = trained(flights)
-    scored = fitted.score(frame.filter(F.col("split").isin(*evaluation.EVALUATED)))
+    rows = materialize(frame.filter(F.col("split").isin(*evaluation.EVALUATED)).withColumn("_row", F.monotonically_increasing_id()))
+    scored = with_walk(fitted.score(rows), rows, fitted, "_row")
     usable = F.col("delay_probability").isNotNull() & F.col("delay_probability").between(0, 1)
-    return scored.select("flight_key", "split", schema.TARGET_LABEL, usable.alias("is_probability"))
+    return scored.select(
+        "flight_key", "split", schema.TARGET_LABEL, usable.alias("is_probability"), "matches_nodes",
+    )
+
+
+def scored_requests(spark, sf_dir):
+    """Decisions on requests from a saved and loaded bundle; probabilities compared with its nodes."""
+    folder = scratch_path(spark, "bundle")
+    train.save(spark, train.train(binding.flights(spark, sf_dir), settings=CHECK_TREES), folder)
+    wanted = materialize(binding.requests(spark, sf_dir).withColumn("_row", F.monotonically_increasing_id()))
+    decisions = score.score(spark, folder, wanted, keep=("_row", "flight_key"))
+    fitted, built, _ = artifacts.load_bundle(spark, folder)
+    rows = materialize(requests.request_features(wanted, built))
+    return with_walk(decisions, rows, fitted, "_row").select(
+        "flight_key", "flight_date", "provided_volumes", "schedule_context_source", "matches_nodes",
+        F.col("delay_probability").between(0, 1).alias("is_probability"),
+    )
+
+
+def staged_auc(flights: DataFrame) -> DataFrame:
+    """AUC of twelve prefixes, each adding another part of the key to the score."""
+    margins = F.array(*[
+        (F.round(F.col("score") * 10_000) * i + F.pmod(F.col("flight_key") * (31 + i), F.lit(20_000))).cast("double")
+        for i in range(1, 13)
+    ])
+    rows = labelled(flights).select(F.col(schema.TARGET_LABEL).alias("label"), margins.alias("margins"))
+    return rounded(stages.staged_auc(rows, 1, 12), "roc_auc", "average_precision")
 
 
 def model_contract(spark, sf_dir):
@@ -410,22 +453,20 @@ def model_contract(spark, sf_dir):
 
 
 def oof_encodings(flights: DataFrame) -> DataFrame:
-    """Rates of the carriers without each fold, the fold being the key modulo the number of folds."""
-    rows = labelled(flights).filter("month <= 7").select(
-        "op_unique_carrier", schema.TARGET_LABEL, F.pmod("flight_key", F.lit(model.FOLDS)).cast("int").alias("fold")
-    ).filter("op_unique_carrier is not null")
-    rates = model.category_encodings(rows, categories=("op_unique_carrier",), fold=F.col("fold"))
+    """Rates of all levels of all categories without each fold, the fold being the key modulo the folds."""
+    rows = dataset.with_calendar(
+        sampling.with_split(labelled(flights)), ("flight_key", schema.TARGET_LABEL, "split")
+    ).filter(F.col("split") == "train")
+    rates = model.category_encodings(rows, fold=F.pmod("flight_key", F.lit(model.FOLDS)).cast("int"))
     return rounded(
-        rates.select("level", F.posexplode("fold_rates").alias("fold", "rate")), "rate", digits=9
+        rates.select("category", "level", F.posexplode("fold_rates").alias("fold", "rate")), "rate", digits=9
     )
 
 
 def feature_importance(spark, sf_dir):
     """All features; whether each importance is what the saved nodes sum up to, and whether all make 100."""
     _, fitted = trained(binding.flights(spark, sf_dir))
-    folder = scratch_path(spark, "trees")
-    fitted.trees.write().save(folder)
-    summed = forest.summed_importances(forest.forest_nodes(spark, folder)).withColumnRenamed("importance", "summed")
+    summed = forest.summed_importances(saved_nodes(spark, fitted)).withColumnRenamed("importance", "summed")
     both = fitted.importances(spark).join(summed, "feature")
     return both.select(
         "feature", (F.abs(F.col("importance") - F.col("summed")) < 1e-9).alias("matches_nodes"),
@@ -622,6 +663,8 @@ def queries() -> dict:
         "confusion_long": over_flights(confusion_long),
         "category_encodings": over_flights(category_encodings),
         "trained_scores": over_flights(trained_scores),
+        "scored_requests": scored_requests,
+        "staged_auc": over_flights(staged_auc),
         "feature_importance": feature_importance,
         "model_contract": model_contract,
         "oof_encodings": over_flights(oof_encodings),

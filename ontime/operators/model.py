@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ontime import schema
 from ontime.operators.attach import FeatureTable, join_table
-from ontime.session import materialize
+from ontime.operators.forest import forest_nodes
+from ontime.operators.stages import best_by_auc, staged_margins
+from ontime.session import materialize, scratch_path
 
 # Missing numbers are placed below every observed value, as tree learners with a "minimum" rule do.
 # Every feature that can be missing is a rate or a volume, hence never negative.
@@ -110,7 +112,7 @@ def assemble(encoded: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Size and speed of the boosting, and how many trees may pass without a better tuning loss."""
+    """Size and speed of the boosting, and how many trees may pass without a better tuning AUC."""
 
     iterations: int = 600
     depth: int = 8
@@ -162,17 +164,6 @@ def _classifier(settings: TreeSettings, iterations: int) -> GBTClassifier:
     )
 
 
-def best_prefix(losses: list[float], patience: int) -> int:
-    """Trees up to the smallest loss, not looking further than ``patience`` trees without a better one."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 def _vectors(rows: DataFrame, encodings: DataFrame, prior: float, fold: Column | None) -> DataFrame:
     return materialize(assemble(encode(rows, encodings, prior, fold=fold)).select(
         "features", F.col(schema.TARGET_LABEL).cast("double").alias(schema.TARGET_LABEL)
@@ -184,7 +175,7 @@ def fit(frame: DataFrame, settings: TreeSettings = TreeSettings(), key: str = "f
 
     ``frame`` carries a ``split`` column; only ``train`` and ``tuning`` rows are used. Rows that a
     model is fitted on get category rates of the other folds, all other rows the full rates. The
-    refit takes encodings of both parts and as many trees as gave the smallest tuning loss.
+    refit takes encodings of both parts and as many trees as ranked the tuning part best, by its exact AUC.
     """
     known = frame.filter(F.col("split").isin("train", "tuning"))
     is_train, late = F.col("split") == "train", F.col(schema.TARGET_LABEL) == 1
@@ -205,6 +196,9 @@ def fit(frame: DataFrame, settings: TreeSettings = TreeSettings(), key: str = "f
         early, prior = materialize(category_encodings(train, fold=fold)), counts.train_late / counts.train
         first = _classifier(settings, trees).fit(_vectors(train, early, prior, fold))
         tuning = _vectors(known.filter(~is_train), early, prior, None)
-        trees = best_prefix(first.evaluateEachIteration(tuning), settings.patience)
+        folder = scratch_path(frame.sparkSession, "first-trees")
+        first.write().save(folder)
+        staged = materialize(staged_margins(tuning, first, forest_nodes(frame.sparkSession, folder)).drop("features"))
+        trees = best_by_auc(staged, trees, settings.patience, schema.TARGET_LABEL)
     prior = delayed / rows
     return DelayModel(encodings, prior, _classifier(settings, trees).fit(_vectors(known, encodings, prior, fold)))

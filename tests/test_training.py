@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from checks import binding, registry
 from ontime import schema
 from ontime.operators import curve
-from ontime.operators.model import DelayModel, TreeSettings, best_prefix, category_encodings, fit
+from ontime.operators.model import DelayModel, TreeSettings, category_encodings, fit
 from ontime.operators.profiles import Profiles
+from ontime.operators.stages import best_prefix
 from ontime.plans import evaluation, score, train
 from ontime.session import scratch_path
 from ontime.sources import artifacts, tables
