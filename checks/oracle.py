@@ -9,6 +9,7 @@ from __future__ import annotations
 from checks import binding
 from checks.registry import EXACT_SAMPLE, EXPLORED, LARGE_SAMPLE, SAMPLE
 from ontime import schema
+from ontime.sources import snapshot
 
 MINUTES = "(({0} // 100) * 60 + {0} % 100) % 1440"
 DEP, ARR = MINUTES.format("crs_dep_time"), MINUTES.format("crs_arr_time")
@@ -664,6 +665,22 @@ def oof_encodings() -> str:
                  FROM ({rows}) AS t, overall, range(5) AS f(fold) GROUP BY category, level, f.fold""")
 
 
+def prepared_modes() -> str:
+    """Once, twice by appending, once after overwriting, and the same after a refused write."""
+    steps = "(0, 'errorifexists', TRUE, 1), (1, 'append', TRUE, 2), (2, 'overwrite', TRUE, 1), (3, 'errorifexists', FALSE, 1)"
+    return sql(*validated(), f"""SELECT CAST(s.step AS INTEGER) AS step, s.mode, s.written,
+        CASE WHEN len(v.errors) = 0 THEN 'clean' ELSE 'rejected' END AS part, CAST(COUNT(*) * ANY_VALUE(s.times) AS BIGINT) AS rows
+      FROM validated v, (VALUES {steps}) AS s(step, mode, written, times) GROUP BY ALL""")
+
+
+def importance_documents() -> str:
+    published = ", ".join(f"('{name}', {value!r}::DOUBLE)" for name, value in snapshot.IMPORTANCES)
+    return f"""SELECT 'local' AS document, variable AS feature, {r6('absolute_correlation')} AS importance, 'local' AS source
+        FROM ({correlation_with_delay()})
+      UNION ALL SELECT d, feature, {r6('value')}, 'snapshot' FROM (VALUES ('old'), ('broken'), ('missing')) AS v(d),
+        (VALUES {published}) AS p(feature, value)"""
+
+
 def staged_auc() -> str:
     """The rank-sum form of the AUC, ties sharing their mean rank; precision by running sums."""
     return sql(*BASE, SCORED, """staged AS (SELECT CAST(i AS INTEGER) AS trees, label,
@@ -745,6 +762,8 @@ def oracle_sql() -> dict[str, str]:
           SELECT 'importance', 100.0::DOUBLE UNION ALL SELECT 'better_than_chance', 1.0::DOUBLE"""),
         "oof_encodings": oof_encodings(),
         "staged_auc": staged_auc(),
+        "prepared_modes": prepared_modes(),
+        "importance_documents": importance_documents(),
         "scored_requests": sql(FLIGHTS, REQUESTS, CHECKED, """SELECT flight_key, flight_date, provided AS provided_volumes,
             CASE WHEN provided = 6 THEN 'provided_daily_schedule' WHEN provided > 0 THEN 'typical_schedule_profile_with_overrides'
               ELSE 'typical_schedule_profile' END AS schedule_context_source,
@@ -840,9 +859,11 @@ def oracle_sql() -> dict[str, str]:
         "category_encodings": category_encodings(),
     }
     texts["report_sinks"] = report_sinks(texts)
+    texts["prepared_rows"], texts["bundle_encodings"] = texts["valid_rows"], texts["category_encodings"]
     for level in schema.HISTORY_LEVELS:
         texts[f"rolling_{level}"] = sql(*BASE, *rolled(level), f"SELECT * FROM r_{level}")
         texts[f"history_profile_{level}"] = sql(*FRAME, *DEFAULTS, history_profile(level))
+    texts["bundle_profile"] = texts["history_profile_route"]
     for name in schema.SCHEDULE_PROFILES:
         texts[f"schedule_profile_{name}"] = sql(*FRAME, *DEFAULTS, schedule_profile(name))
     return texts

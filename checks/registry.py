@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
@@ -374,11 +375,14 @@ def confusion_long(flights: DataFrame) -> DataFrame:
 CHECK_TREES = model.TreeSettings(iterations=40, depth=5, learning_rate=0.1, patience=15, min_rows=200)
 
 
-def category_encodings(flights: DataFrame) -> DataFrame:
-    featured = dataset.with_calendar(
-        sampling.with_split(labelled(flights)), (schema.TARGET_LABEL, "split")
+def train_rows(flights: DataFrame) -> DataFrame:
+    return dataset.with_calendar(
+        sampling.with_split(labelled(flights)), ("flight_key", schema.TARGET_LABEL, "split")
     ).filter(F.col("split") == "train")
-    return rounded(model.category_encodings(featured), "rate", digits=9).drop("fold_rates")
+
+
+def category_encodings(flights: DataFrame) -> DataFrame:
+    return rounded(model.category_encodings(train_rows(flights)), "rate", digits=9).drop("fold_rates")
 
 
 def trained(flights: DataFrame):
@@ -454,10 +458,7 @@ def model_contract(spark, sf_dir):
 
 def oof_encodings(flights: DataFrame) -> DataFrame:
     """Rates of all levels of all categories without each fold, the fold being the key modulo the folds."""
-    rows = dataset.with_calendar(
-        sampling.with_split(labelled(flights)), ("flight_key", schema.TARGET_LABEL, "split")
-    ).filter(F.col("split") == "train")
-    rates = model.category_encodings(rows, fold=F.pmod("flight_key", F.lit(model.FOLDS)).cast("int"))
+    rates = model.category_encodings(train_rows(flights), fold=F.pmod("flight_key", F.lit(model.FOLDS)).cast("int"))
     return rounded(
         rates.select("category", "level", F.posexplode("fold_rates").alias("fold", "rate")), "rate", digits=9
     )
@@ -493,6 +494,68 @@ def parquet_roundtrip(spark, sf_dir):
     )
 
 
+def prepared_rows(spark, sf_dir):
+    """Every value of the clean rows as written by month and read back."""
+    folder = scratch_path(spark, "prepared")
+    sinks.write_prepared(validated(spark, sf_dir), folder)
+    return tables.read_flights(spark, f"{folder}/flights")
+
+
+def prepared_modes(spark, sf_dir):
+    """Rows that are there after writing once, again by appending, again by overwriting, and after a refused write."""
+    checked, folder = materialize(validated(spark, sf_dir)), scratch_path(spark, "prepared")
+    found = []
+    for step, mode in enumerate(("errorifexists", "append", "overwrite", "errorifexists")):
+        try:
+            sinks.write_prepared(checked, folder, mode)
+            written = True
+        except AnalysisException:
+            written = False
+        both = tables.read_flights(spark, f"{folder}/flights").select(F.lit("clean").alias("part")).unionByName(
+            tables.read_flights(spark, f"{folder}/rejects").select(F.lit("rejected").alias("part"))
+        )
+        found.append(materialize(both.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))).select(
+            F.lit(step).alias("step"), F.lit(mode).alias("mode"), F.lit(written).alias("written"), "part", "rows"
+        ))
+    return reduce(DataFrame.unionByName, found)
+
+
+def importance_documents(spark, sf_dir):
+    """Importances by document: one of this table, one with a feature of old name, one with a broken number, none."""
+    strength = materialize(metrics.correlation_with_delay(binding.flights(spark, sf_dir)).select(
+        F.col("variable").alias("feature"), F.round("absolute_correlation", 6).alias("importance")
+    ))
+    old = strength.withColumn("feature", F.when(F.col("feature") == "distance", "origin_average_delay_minutes").otherwise(F.col("feature")))
+    broken = strength.withColumn("importance", F.when(F.col("feature") == "distance", "n/a").otherwise(F.col("importance").cast("string")))
+    folder = scratch_path(spark, "importances")
+    for name, data in (("local", strength), ("old", old), ("broken", broken)):
+        sinks.write_report(data, f"{folder}/{name}")
+    cases = [
+        rounded(artifacts.load_importances(spark, f"{folder}/{name}"), "importance").select(F.lit(name).alias("document"), "*")
+        for name in ("local", "old", "broken", "missing")
+    ]
+    return reduce(DataFrame.unionByName, cases)
+
+
+def loaded_bundle(spark, sf_dir):
+    """A bundle without trees, saved and loaded: its encodings and its profiles come from the flights."""
+    flights, folder = binding.flights(spark, sf_dir), scratch_path(spark, "bundle")
+    rates = model.category_encodings(train_rows(flights))
+    untrained = model.DelayModel(rates, 0.5, None, 0.5)
+    artifacts.save_bundle(spark, folder, untrained, build_profiles(flights), {})
+    return artifacts.load_bundle(spark, folder)
+
+
+def bundle_encodings(spark, sf_dir):
+    loaded, _, _ = loaded_bundle(spark, sf_dir)
+    return rounded(loaded.encodings, "rate", digits=9).drop("fold_rates")
+
+
+def bundle_profile(spark, sf_dir):
+    _, built, _ = loaded_bundle(spark, sf_dir)
+    return rounded(built.tables["history_route"], *schema.history_features("route"))
+
+
 def report_sinks(spark, sf_dir):
     """Write all nine reports, read them back, and give their cells as (report, key, metric, value)."""
     flights, folder = binding.flights(spark, sf_dir).drop("row_key"), scratch_path(spark, "reports")
@@ -672,6 +735,11 @@ def queries() -> dict:
         "request_states": request_states,
         "metrics_documents": metrics_documents,
         "parquet_roundtrip": parquet_roundtrip,
+        "prepared_rows": prepared_rows,
+        "prepared_modes": prepared_modes,
+        "importance_documents": importance_documents,
+        "bundle_encodings": bundle_encodings,
+        "bundle_profile": bundle_profile,
         "report_sinks": report_sinks,
     }
     for level in schema.HISTORY_LEVELS:
