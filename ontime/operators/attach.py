@@ -7,8 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-# A table is broadcast only if its proven row bound keeps it below this size.
+# A table is broadcast only if its proven row bound keeps it below the first size, and only as many
+# as stay below the second one together: all of them are held by every executor at once.
 BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_TOTAL = 96 * 1024 * 1024
 BYTES_PER_FIELD = 16
 
 
@@ -21,10 +23,14 @@ class FeatureTable:
     row_bound: int | None = None
 
     @property
-    def is_small(self) -> bool:
+    def byte_bound(self) -> float:
         if self.row_bound is None:
-            return False
-        return self.row_bound * len(self.rows.columns) * BYTES_PER_FIELD <= BROADCAST_BYTES
+            return float("inf")
+        return self.row_bound * len(self.rows.columns) * BYTES_PER_FIELD
+
+    @property
+    def is_small(self) -> bool:
+        return self.byte_bound <= BROADCAST_BYTES
 
 
 def key_counts(data: DataFrame, columns: list[str]) -> dict[str, int]:
@@ -50,16 +56,31 @@ def join_by_key(facts: DataFrame, features: DataFrame, keys: list[str]) -> DataF
     return facts.join(renamed, same, "left").drop(*[f"_key_{name}" for name in keys])
 
 
+def broadcastable(tables: list[FeatureTable]) -> set[int]:
+    """Places of the tables to broadcast: the smallest first, until their sum reaches its bound."""
+    chosen, total = set(), 0.0
+    for place in sorted(range(len(tables)), key=lambda i: tables[i].byte_bound):
+        total += tables[place].byte_bound
+        if not tables[place].is_small or total > BROADCAST_TOTAL:
+            break
+        chosen.add(place)
+    return chosen
+
+
 def join_table(data: DataFrame, table: FeatureTable) -> DataFrame:
-    """Left join of one table, broadcast if proven small."""
-    rows = F.broadcast(table.rows) if table.is_small else table.rows
-    return data.join(rows, list(table.keys), "left")
+    """Left join of one table."""
+    return data.join(table.rows, list(table.keys), "left")
+
+
+def join_small(data: DataFrame, table: FeatureTable) -> DataFrame:
+    """Left join of one table that is proven small, broadcast."""
+    return data.join(F.broadcast(table.rows), list(table.keys), "left")
 
 
 def attach(facts: DataFrame, tables: list[FeatureTable], grain_of: DataFrame | None = None) -> DataFrame:
     """Left-join every table to the facts; a fact with a null key gets null features.
 
-    Tables proven small are broadcast and cost no shuffle. A single large one is joined as it is.
+    Tables proven small are broadcast and cost no shuffle, as long as their sum is bounded too. A single large one is joined as it is.
     Several large ones are first joined to each other at the grain of their combined keys, taken
     from ``grain_of`` (every fact key must occur in it; by default the facts themselves), so that
     the facts are shuffled once and not once per table.
@@ -67,12 +88,13 @@ def attach(facts: DataFrame, tables: list[FeatureTable], grain_of: DataFrame | N
     columns = [*facts.columns, *[
         name for table in tables for name in table.rows.columns if name not in table.keys
     ]]
-    small = [table for table in tables if table.is_small]
-    large = [table for table in tables if not table.is_small]
+    chosen = broadcastable(tables)
+    small = [table for i, table in enumerate(tables) if i in chosen]
+    large = [table for i, table in enumerate(tables) if i not in chosen]
     if len(large) > 1:
         keys = sorted({name for table in large for name in table.keys})
         grain = (grain_of if grain_of is not None else facts).select(*keys).distinct()
         facts = join_by_key(facts, reduce(join_table, large, grain), keys)
     else:
         facts = reduce(join_table, large, facts)
-    return reduce(join_table, small, facts).select(*columns)
+    return reduce(join_small, small, facts).select(*columns)

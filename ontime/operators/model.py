@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -11,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ontime import schema
-from ontime.operators.attach import FeatureTable, join_table
+from ontime.operators.attach import FeatureTable, broadcastable, join_small, join_table
 from ontime.operators.forest import forest_nodes
 from ontime.operators.stages import best_by_auc, staged_margins
 from ontime.session import materialize, scratch_path
@@ -93,7 +92,9 @@ def encode(frame: DataFrame, encodings: DataFrame, prior: float | Column,
         )
         tables.append(FeatureTable(levels, (name,), sizes.get(name, 0)))
     data = frame.withColumn("_fold", F.lit(None).cast("int") if fold is None else fold)
-    data = reduce(join_table, tables, data)
+    chosen = broadcastable(tables)
+    for place, rates in enumerate(tables):
+        data = join_small(data, rates) if place in chosen else join_table(data, rates)
     prior = prior if isinstance(prior, Column) else F.lit(float(prior))
     return data.withColumns({
         name: F.coalesce(F.get(F.col(name)["fold_rates"], F.col("_fold")), F.col(name)["rate"], prior)

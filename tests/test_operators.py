@@ -315,3 +315,20 @@ def test_metrics_snapshot_replaces_missing_or_stale_documents(spark):
         .write.option("header", True).csv(path)
     assert {r.source for r in artifacts.load_importances(spark, path).collect()} == {"snapshot"}
     assert artifacts.top_importances(artifacts.load_importances(spark, None)).count() == 15
+
+
+def test_the_sum_of_broadcasts_is_bounded(spark, monkeypatch):
+    """The smallest tables are broadcast until their sum reaches the bound; results stay the same."""
+    facts = spark.range(50).selectExpr("id", "id % 5 AS a", "id % 7 AS b", "id % 3 AS c")
+    tables = [
+        attach.FeatureTable(spark.range(n).selectExpr(f"id AS {key}", f"id * {n} AS of_{key}"), (key,), n)
+        for key, n in (("a", 5), ("b", 7), ("c", 3))
+    ]
+    everything = sorted(attach.attach(facts, tables).collect())
+    assert attach.broadcastable(tables) == {0, 1, 2}
+    row = 2 * attach.BYTES_PER_FIELD
+    for total, chosen in ((14 * row, {0, 2}), (8 * row, {0, 2}), (7 * row, {2}), (0, set())):
+        monkeypatch.setattr(attach, "BROADCAST_TOTAL", total)
+        assert attach.broadcastable(tables) == chosen
+        assert sorted(attach.attach(facts, tables).collect()) == everything
+    assert attach.broadcastable([attach.FeatureTable(facts, ("a",), None)]) == set()
