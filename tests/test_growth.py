@@ -5,6 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import binding
 from checks.registry import validated
@@ -62,3 +63,31 @@ def test_wide_projections_are_compiled(spark):
     with_settings(spark)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
     assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 12
+
+
+def test_walking_the_nodes_moves_no_rows(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from ontime.operators import forest
+
+    rows = spark.range(400).selectExpr("id % 40 AS key", "CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 7 > 3 AS DOUBLE) AS y")
+    vectors = VectorAssembler(inputCols=["a"], outputCol="features").transform(rows)
+    fitted, folder = GBTClassifier(labelCol="y", maxIter=2, maxDepth=2).fit(vectors), scratch_path(spark, "trees")
+    fitted.write().save(folder)
+    walked = forest.walked_scores(vectors, forest.forest_nodes(spark, folder), ["key"], 2, 2)
+    assert walked.count() == 400
+    executed = walked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in executed and "Generate" not in executed
+
+
+def test_a_row_carries_one_rate_per_category(spark):
+    from ontime.operators import model
+
+    rates = spark.createDataFrame([("c", "a", 9, 0.5, [0.1, 0.2, 0.3, 0.4, 0.6])], "category string, level string, rows long, rate double, fold_rates array<double>")
+    rows = spark.createDataFrame([(1, "a", 1), (2, "a", None), (3, "b", 4), (4, "a", 4)], "key int, c string, f int")
+    encoded = model.encode(rows, rates, 0.7, ("c",), F.col("f"))
+    assert {r["key"]: r["c_rate"] for r in encoded.collect()} == {1: 0.2, 2: 0.5, 3: 0.7, 4: 0.6}
+    assert {r["c_rate"] for r in model.encode(rows, rates, 0.7, ("c",)).collect()} == {0.5, 0.7}
+    joins = [line for line in plan(encoded).splitlines() if line.lstrip(" :+-").startswith("Join")]
+    assert joins and all("_fold" in line for line in joins)
