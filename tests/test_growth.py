@@ -59,6 +59,23 @@ def test_stored_rows_are_written_by_month_without_storing_them_again(spark, sf_d
     assert len(list(Path(folder.removeprefix("file:")).glob("flights/*/*/*.parquet"))) <= tasks * len(months)
 
 
+def test_profiles_are_summed_from_tables_without_both_hours(spark, sf_dir):
+    """A table with the hours of both ends has nearly one row per flight and grows with the facts."""
+    from checks import registry
+    from ontime.functions import outcome
+    from ontime.operators import congestion, profiles
+
+    flights = binding.flights(spark, sf_dir)
+    counts, weights = congestion.stored_counts(flights), profiles.frame_weights(registry.model_rows(flights))
+    for table in (*counts.values(), *weights.values()):
+        assert not {"departure_slot", "arrival_slot"} <= set(table.columns)
+    planned = flights.filter(outcome.is_planned()).count()
+    assert {t.agg(F.sum("planned").alias("n")).first().n for t in counts.values()} == {planned}
+    completed = flights.filter(outcome.is_completed()).count()
+    assert {t.agg(F.sum("weight").alias("n")).first().n for t in weights.values()} == {completed}
+    assert profiles.grains_of(("origin",)) == ("departures",) and profiles.grains_of(("route", "carrier_origin")) == ("legs",)
+
+
 def test_wide_projections_are_compiled(spark):
     with_settings(spark)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
