@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ontime import schema
 from ontime.functions import text
+from ontime.operators.quality import failed_rules
 
 
 def read_flights_csv(
@@ -45,7 +46,8 @@ def read_requests(spark: SparkSession, path: str, multi_line: bool = False) -> D
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
     raw = spark.read.schema(as_text).option("multiLine", multi_line).json(path)
     readers = {T.IntegerType(): text.to_integer, T.DoubleType(): text.to_float}
-    written = {name: text.clean_text(F.col(name)) for name in numbers}
-    read = {name: readers[kind](written[name]) for name, kind in numbers.items()}
-    unread = [F.when(written[n].isNotNull() & read[n].isNull(), F.lit(n)) for n in numbers]
-    return raw.withColumns({**read, "invalid_numbers": F.array_compact(F.array(*unread))})
+    written = {name: f"_text_{name}" for name in numbers}
+    kept = raw.withColumns({column: text.clean_text(F.col(name)) for name, column in written.items()})
+    read = kept.withColumns({name: readers[kind](F.col(written[name])) for name, kind in numbers.items()})
+    unread = [(name, F.isnotnull(column) & F.isnull(name)) for name, column in written.items()]
+    return read.withColumn("invalid_numbers", failed_rules(unread)).drop(*written.values())
