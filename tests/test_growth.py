@@ -18,6 +18,17 @@ def plan(data) -> str:
     return data._jdf.queryExecution().optimizedPlan().toString()
 
 
+def whole_plan(data) -> str:
+    """The plan with all its columns, however many."""
+    conf, name = data.sparkSession.conf, "spark.sql.debug.maxToStringFields"
+    before = conf.get(name)
+    conf.set(name, "10000")
+    try:
+        return plan(data)
+    finally:
+        conf.set(name, before)
+
+
 def test_flights_are_not_sorted_unless_their_number_is_read(spark, sf_dir):
     assert "Window" in plan(binding._flights_view(spark, sf_dir))
     assert "Window" not in plan(binding._flights_view(spark, sf_dir).drop("row_key"))
@@ -108,3 +119,47 @@ def test_a_row_carries_one_rate_per_category(spark):
     assert {r["c_rate"] for r in model.encode(rows, rates, 0.7, ("c",)).collect()} == {0.5, 0.7}
     joins = [line for line in plan(encoded).splitlines() if line.lstrip(" :+-").startswith("Join")]
     assert joins and all("_fold" in line for line in joins)
+
+
+def test_requests_read_each_number_once(spark, sf_dir, tmp_path):
+    """What is null is told from the number that was read, not from reading it a second time."""
+    from ontime.sources import tables
+
+    path = f"file:{tmp_path}/requests"
+    spark.createDataFrame([('{"crs_dep_time": "12.5", "distance": "1e3"}',), ('{"crs_dep_time": "12.0", "distance": "1d"}',)], "value string") \
+        .write.text(path)
+    read = tables.read_requests(spark, path)
+    assert sorted((r.crs_dep_time, r.distance, tuple(r.invalid_numbers)) for r in read.filter("crs_dep_time is not null").collect()) == [
+        (12, None, ("distance",))]
+    assert [r.distance for r in read.filter("crs_dep_time is null").collect()] == [1000.0]
+    assert whole_plan(read).count("RLIKE") == len([f for f in read.schema if f.dataType.typeName() in ("integer", "double")])
+
+
+def test_corrupt_rows_are_counted_without_storing_the_typed_rows(spark, sf_dir, monkeypatch):
+    from checks import registry
+    from ontime import schema
+
+    monkeypatch.setattr(registry, "materialize", lambda data: pytest.fail("stored"))
+    counted = registry.csv_corrupt_rows(spark, sf_dir)
+    assert whole_plan(counted).count("RLIKE") == len(schema.TYPED_COLUMNS) and {r.is_corrupt for r in counted.collect()} == {True, False}
+
+
+def test_rules_make_no_array_of_all_rules(spark, sf_dir):
+    assert "lambda" not in whole_plan(validated(spark, sf_dir))
+
+
+def test_numbers_and_dates_are_read_as_before(spark):
+    from ontime.functions import text
+
+    old_float = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+    odd = ["", "12", "12.0", "12.", "12.5", "+5", "-", ".0", "0.00", "2147483648", "\t12", "12\n", "12\n\n", "12d", "0x1", "1e3", "1.e-3",
+           ".5E+7", "1e", "1e3.", "NaN", "--1", "1-", "2024-02-29", "2023-02-29", "2024-2-9", "0000-01-01", "12024-01-01", "2024-01-1T",
+           "2024-01-01\n", "2024-01-01T00", "2024", "٢٠٢٤-01-01", "2024-00-10", "-2024-01-01", "1000-01-01"]
+    value = F.col("t")
+    read = spark.createDataFrame([(t,) for t in odd], "t string").select(
+        text.to_integer(value).alias("i"), F.when(value.rlike(r"^[+-]?\d+(?:\.0+)?$"), value.try_cast("double").try_cast("int")).alias("old_i"),
+        text.to_float(value).alias("f"), F.when(value.rlike(old_float), value.try_cast("double")).alias("old_f"),
+        text.to_date(value).cast("string").alias("d"), F.when(value != "", F.try_to_date(value, text.DATE_FORMAT)).cast("string").alias("old_d"),
+    )
+    rows = read.collect()
+    assert all(r.i == r.old_i and r.f == r.old_f and r.d == r.old_d for r in rows) and len({r.d for r in rows}) > 2
