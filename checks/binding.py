@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.session import scratch_path, with_settings
+from ontime.session import TASKS_PER_CORE, scratch_path, with_settings
 
 FLIGHTS_SQL = """
 WITH k AS (
@@ -135,7 +135,8 @@ def _flights_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
     )
     sql = FLIGHTS_SQL.replace("FROM lineitem", "FROM {lineitem}")
-    return spark.sql(sql, lineitem=source.hint("rebalance", "l_orderkey"))
+    tasks = spark.sparkContext.defaultParallelism * TASKS_PER_CORE
+    return spark.sql(sql, lineitem=source.repartition(tasks, "l_orderkey"))
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import Column, functions as F
 
 from ontime import schema
 
-# Accepted spellings of numbers.
-INTEGER_PATTERN = r"^[+-]?\d+(?:\.0+)?$"
-FLOAT_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+# Accepted spellings of numbers. Digits are never given back: what follows them is no digit.
+INTEGER_PATTERN = r"^[+-]?+\d++(?:\.0++)?+$"
+FLOAT_PATTERN = r"^[+-]?+(?:\d++(?:\.\d*+)?+|\.\d++)(?:[eE][+-]?+\d++)?+$"
 DATE_FORMAT = "yyyy-MM-dd"
+PLAIN_DATE_PATTERN = r"^[1-9]\d{3}-\d\d-\d\d$"  # read alike by a cast and by the format, at a tenth of the cost
 
 
 def clean_text(value: Column) -> Column:
@@ -31,7 +32,8 @@ def to_float(text: Column) -> Column:
 
 
 def to_date(text: Column) -> Column:
-    return F.when(text != "", F.try_to_date(text, DATE_FORMAT))
+    plain = text.rlike(PLAIN_DATE_PATTERN) & (F.length(text) == 10)
+    return F.when(plain, text.try_cast("date")).when(text != "", F.try_to_date(text, DATE_FORMAT))
 
 
 def to_text(text: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 COMPILED_BYTES = 8000  # bytecode of a method that the JVM still compiles
 LARGEST_METHOD = 65535  # bytecode of any method
 OPEN_FILES = 24  # files that a task of a partitioned write holds open
+TASKS_PER_CORE = 4  # tasks that a scan is dealt to at least, if its files are large enough
 WRITERS = 4  # tables stored at the same time by one job
 
 
@@ -30,7 +31,10 @@ def with_settings(spark: SparkSession) -> SparkSession:
 
     Wide projections run as several methods, as the JVM only interprets a method above its limit;
     a partitioned write keeps a file open per partition, and sorts the rows only where there are more.
+    Scans are dealt to several tasks a core, so that no core waits for the last one for long.
     """
+    tasks = spark.sparkContext.defaultParallelism * TASKS_PER_CORE
+    spark.conf.set("spark.sql.files.minPartitionNum", str(tasks))
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(COMPILED_BYTES))
     spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
     return spark
