@@ -87,6 +87,17 @@ def test_profiles_are_summed_from_tables_without_both_hours(spark, sf_dir):
     assert profiles.grains_of(("origin",)) == ("departures",) and profiles.grains_of(("route", "carrier_origin")) == ("legs",)
 
 
+def test_the_model_frame_counts_no_pair_of_hours(spark, sf_dir, monkeypatch):
+    from ontime.operators import congestion
+    from ontime.plans import dataset
+
+    stored, store = {}, congestion.materialize_all
+    monkeypatch.setattr(congestion, "materialize_all", lambda frames: stored.update(frames) or store(frames))
+    dataset.model_frame(binding.flights(spark, sf_dir))
+    assert set(stored) == set(congestion.GRAINS)
+    assert not any({"departure_slot", "arrival_slot"} <= set(frame.columns) for frame in stored.values())
+
+
 def test_wide_projections_are_compiled(spark):
     with_settings(spark)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
