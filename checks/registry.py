@@ -30,6 +30,11 @@ def rounded(data: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return data.withColumns({name: F.round(name, digits) + 0.0 for name in names})
 
 
+def rounded_trigonometry(data: DataFrame) -> DataFrame:
+    """Sines and cosines to six digits, without the decimal text that ``round`` makes of each."""
+    return data.withColumns({name: F.rint(F.col(name) * 1e6) / 1e6 + 0.0 for name in TRIGONOMETRY})
+
+
 def joined(data: DataFrame, *names: str) -> DataFrame:
     """Arrays as text."""
     return data.withColumns({name: F.array_join(name, "|") for name in names})
@@ -100,7 +105,7 @@ TRIGONOMETRY = [
 
 def calendar_features(flights: DataFrame) -> DataFrame:
     kept = ("flight_key", "fl_date", "month", "day_of_week")
-    return rounded(dataset.with_calendar(flights, kept), *TRIGONOMETRY)
+    return rounded_trigonometry(dataset.with_calendar(flights, kept))
 
 
 def arrival_day_offset(flights: DataFrame) -> DataFrame:
@@ -152,7 +157,7 @@ def volumes(name: str):
 
 
 def model_frame(flights: DataFrame) -> DataFrame:
-    return rounded(dataset.model_frame(flights), *TRIGONOMETRY)
+    return rounded_trigonometry(dataset.model_frame(flights))
 
 
 # --- samples and split -----------------------------------------------------

@@ -77,24 +77,39 @@ def join_small(data: DataFrame, table: FeatureTable) -> DataFrame:
     return data.join(F.broadcast(table.rows), list(table.keys), "left")
 
 
-def attach(facts: DataFrame, tables: list[FeatureTable], grain_of: DataFrame | None = None) -> DataFrame:
+def join_wide(facts: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
+    """``join_by_key`` for many features: neither side is sorted, rows get their features at once.
+
+    A partition of ``features`` is hashed in memory; it has one row per key, so that a hot key is one row.
+    """
+    return join_by_key(facts, features.hint("shuffle_hash"), keys)
+
+
+def attach(facts: DataFrame, tables: list[FeatureTable], grain: DataFrame | None = None) -> DataFrame:
     """Left-join every table to the facts; a fact with a null key gets null features.
 
     Tables proven small are broadcast and cost no shuffle, as long as their sum is bounded too. A single large one is joined as it is.
-    Several large ones are first joined to each other at the grain of their combined keys, taken
-    from ``grain_of`` (every fact key must occur in it; by default the facts themselves), so that
+    Several large ones are first joined to each other at the grain of their combined keys, so that
     the facts are shuffled once and not once per table.
+
+    ``grain`` names keys that many facts share: one row per combination, none of the facts missing.
+    All tables over its columns are then joined to it first. Every join copies the rows it has by
+    then, so that otherwise each fact is copied once per table, wider each time.
     """
     columns = [*facts.columns, *[
         name for table in tables for name in table.rows.columns if name not in table.keys
     ]]
+    shared = [grain is not None and set(table.keys) <= set(grain.columns) for table in tables]
+    if sum(shared) > 1:
+        features = attach(grain, [table for table, is_shared in zip(tables, shared) if is_shared])
+        slim = attach(facts, [table for table, is_shared in zip(tables, shared) if not is_shared])
+        return join_wide(slim, features, grain.columns).select(*columns)
     chosen = broadcastable(tables)
     small = [table for i, table in enumerate(tables) if i in chosen]
     large = [table for i, table in enumerate(tables) if i not in chosen]
     if len(large) > 1:
         keys = sorted({name for table in large for name in table.keys})
-        grain = (grain_of if grain_of is not None else facts).select(*keys).distinct()
-        facts = join_by_key(facts, reduce(join_table, large, grain), keys)
+        facts = join_by_key(facts, reduce(join_table, large, facts.select(*keys).distinct()), keys)
     else:
         facts = reduce(join_table, large, facts)
     return reduce(join_small, small, facts).select(*columns)

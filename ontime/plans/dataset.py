@@ -74,7 +74,10 @@ def model_frame(
         "crs_elapsed_time", "distance",
     )
     distinct = key_counts(counts["legs"], LEG_DAY)
-    joined = attach(slim, schedule_tables(counts, distinct) + history_tables(counts["legs"], distinct))
+    joined = attach(
+        slim, schedule_tables(counts, distinct) + history_tables(counts["legs"], distinct),
+        grain=counts["legs"].select(*LEG_DAY),
+    )
     return joined.select(
         key, F.col("fl_date").alias("flight_date"), "month",
         *[value.alias(name) for name, value in calendar_columns().items()

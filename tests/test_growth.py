@@ -98,6 +98,48 @@ def test_the_model_frame_counts_no_pair_of_hours(spark, sf_dir, monkeypatch):
     assert not any({"departure_slot", "arrival_slot"} <= set(frame.columns) for frame in stored.values())
 
 
+def joins_of_the_facts(data) -> int:
+    """Joins that the rows of the leftmost table pass through."""
+    node, joins = data._jdf.queryExecution().optimizedPlan(), 0
+    while node.children().nonEmpty():
+        joins += node.nodeName() == "Join"
+        node = node.children().head()
+    return joins
+
+
+def test_rows_of_the_model_frame_pass_one_join_for_all_features_of_a_leg(spark, sf_dir):
+    """The others are the hours of departure and arrival; each join copies the row as wide as it is by then."""
+    from ontime.plans import dataset
+
+    assert joins_of_the_facts(dataset.model_frame(binding.flights(spark, sf_dir))) == 3
+
+
+def test_features_joined_at_a_shared_grain_are_those_joined_one_by_one(spark):
+    from ontime.operators.attach import FeatureTable, attach
+
+    keys = [(1, "a", None), (1, "a", "x"), (None, "a", "x"), (2, None, "y"), (2, "b", "y"), (None, None, None)]
+    facts = spark.createDataFrame([(i, *key, i % 5) for i, key in enumerate(keys * 4)], "n int, day int, origin string, dest string, hour int")
+    tables = [
+        FeatureTable(spark.createDataFrame([(1, 1.0), (2, 2.0)], "day int, of_day double"), ("day",), 2),
+        FeatureTable(spark.createDataFrame([(1, "a", 3.0), (2, None, 9.0)], "day int, origin string, of_origin double"), ("day", "origin"), 2),
+        FeatureTable(spark.createDataFrame([(2, "y", 4.0), (1, None, 9.0)], "day int, dest string, of_dest double"), ("day", "dest")),
+        FeatureTable(spark.createDataFrame([("a", 3, 5.0)], "origin string, hour int, of_hour double"), ("origin", "hour"), 1),
+    ]
+    one_by_one, shared = attach(facts, tables), attach(facts, tables, facts.select("day", "origin", "dest").distinct())
+    assert shared.columns == one_by_one.columns and joins_of_the_facts(shared) < joins_of_the_facts(one_by_one)
+    assert shared.count() == facts.count() and shared.exceptAll(one_by_one).isEmpty()
+
+
+def test_sines_are_rounded_as_round_does(spark):
+    from checks import registry
+    from ontime.functions import clock
+
+    data = spark.range(1440).select(*[value.alias(name) for name, value in zip(registry.TRIGONOMETRY, [
+        angle for period in (12, 7, 1440, 1440) for angle in clock.cyclic(F.col("id"), period)])])
+    assert registry.rounded_trigonometry(data).collect() == registry.rounded(data, *registry.TRIGONOMETRY).collect()
+    assert "round(" not in whole_plan(registry.rounded_trigonometry(data))
+
+
 def test_wide_projections_are_compiled(spark):
     with_settings(spark)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
