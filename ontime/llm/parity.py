@@ -11,7 +11,7 @@ sets decide.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,6 +33,8 @@ GROUP = 2_000  # nodes of a block that a task compares with each other
 FIRST = 8  # blocks that a node names, so that a pair is told once
 LAST = np.iinfo(np.int64).max  # above all keys
 TILE = 500  # texts of a tile, whose sets a task holds
+PIECE = 2 ** 17  # keys that a signing task holds, and rows it hands over at once; one text may have more
+READ = 64  # texts taken from an Arrow batch at once
 
 
 def word_list(text: str) -> list[bytes]:
@@ -119,14 +121,14 @@ SIGNED_SQL = (
 
 
 class Signer:
-    """Turns a batch of texts into rows of a few kinds.
+    """Turns a batch of texts into rows of a few kinds, a piece of about ``PIECE`` keys after the other.
 
     TEXT: doc_id, text_id, size, set_id and node of a text; without set_id and node if it has no
     words. SKETCHED: size and sketch of a node in a band: that of its own size, and those in which
-    a larger partner may be. LONE: a key (in ``place``) and the only node of the batch that has it.
+    a larger partner may be. LONE: a key (in ``place``) and the only node of the piece that has it.
     HEAD: the same where there are more, each of which is a MEMBER with that key. Of equal sets in
     a batch only the first has keys and sketches. ``place`` deals rows out evenly, since a key has one
-    HEAD per batch however many texts share it. ``tag`` holds the kind, the band, and for a key how
+    HEAD per piece however many texts share it. ``tag`` holds the kind, the band, and for a key how
     many keys of its text a similar one has at least.
     """
 
@@ -140,8 +142,8 @@ class Signer:
             self.layouts[band] = Layout(band, self.percent)
         return self.layouts[band]
 
-    def batch(self, rows: list[tuple[int | None, int, str]]) -> Iterator[pa.RecordBatch]:
-        texts, sketches, keys, owners, marks, seen = [], [], [], [], [], set()
+    def batch(self, rows: Iterable[tuple[int | None, int, str]]) -> Iterator[pa.RecordBatch]:
+        texts, sketches, keys, marks, held, seen = [], [], [], [], 0, set()
         for doc_id, text_id, text in rows:
             elements = shingle_set(self.hashes.of(word_list(text)), self.width)
             size = len(elements)
@@ -162,8 +164,14 @@ class Signer:
                 due, own = layout.keys(elements)
                 sketches.append((node, band, size, layout.sketch(elements)))
                 keys.append(own)
-                owners.append(np.full(len(own), node, np.int64))
-                marks.append(np.full(len(own), due * BANDS + band, np.int64))
+                marks.append(due * BANDS + band)
+                held += len(own)
+            if held >= PIECE:
+                yield from self.piece(texts, sketches, keys, marks)
+                texts, sketches, keys, marks, held = [], [], [], [], 0
+        yield from self.piece(texts, sketches, keys, marks)
+
+    def piece(self, texts: list[tuple], sketches: list[tuple], keys: list[np.ndarray], marks: list[int]) -> Iterator[pa.RecordBatch]:
         if texts:
             node, doc_id, text_id, size, set_id = zip(*texts, strict=True)
             yield signed_rows(np.full(len(node), TEXT), place=pa.array(text_id), node=pa.array(node, pa.int64()), about=about(
@@ -173,7 +181,8 @@ class Signer:
         node, band, size, sketch = zip(*sketches, strict=True)
         node, band = np.array(node, np.int64), np.array(band)
         yield signed_rows(band * KINDS + SKETCHED, place=spread(node + band), node=node, about=about(len(node), size=size, sketch=sketch))
-        key, owner, mark = np.concatenate(keys), np.concatenate(owners), np.concatenate(marks)
+        times = [len(own) for own in keys]
+        key, owner, mark = np.concatenate(keys), np.repeat(node, times), np.repeat(np.array(marks, np.int64), times)
         order = np.argsort(key, kind="stable")
         key, owner, mark = key[order], owner[order], mark[order] * KINDS
         head = np.r_[True, key[1:] != key[:-1]]
@@ -201,7 +210,7 @@ def signed_rows(tags: np.ndarray, **columns) -> pa.RecordBatch:
 
 
 def signatures(documents: DataFrame, width: int, percent: int, seed: int) -> DataFrame:
-    """The rows of ``Signer`` for all texts, less the keys that one node of one batch alone has.
+    """The rows of ``Signer`` for all texts, less the keys that one node of one piece alone has.
 
     Columns: kind (HEAD stands for LONE too), key, node, band, due and about. Every key moves once.
     """
@@ -209,8 +218,12 @@ def signatures(documents: DataFrame, width: int, percent: int, seed: int) -> Dat
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(width, percent, seed)
         for batch in batches:
-            columns = (batch[c].to_pylist() for c in ("doc_id", "text_id", "text"))
-            yield from signer.batch(list(zip(*columns, strict=True)))
+            yield from signer.batch(texts_of(batch))
+
+    def texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int | None, int, str]]:
+        for start in range(0, batch.num_rows, READ):
+            part = batch.slice(start, READ)
+            yield from zip(*(part[c].to_pylist() for c in ("doc_id", "text_id", "text")), strict=True)
 
     made = documents.mapInArrow(sign, SIGNED_SQL)
     heads = F.count(F.lit(1)).over(Window.partitionBy("place"))

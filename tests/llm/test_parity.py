@@ -68,6 +68,29 @@ def test_small_tiles_and_no_spare_blocks(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(texts, 4, 85)
 
 
+def test_a_batch_is_signed_in_pieces_of_bounded_size():
+    """Rows handed over at once do not grow with the Arrow batch; copies in later pieces have no keys, all other texts have theirs."""
+    source = random.Random(14)
+    texts = [sentence(source, 200, 10**6) for _ in range(4000)]
+    texts += texts[:100]
+    made = list(parity.Signer(5, 80).batch([(i, i, t) for i, t in enumerate(texts)]))
+    tags = np.concatenate([np.asarray(b["tag"]) for b in made]) % parity.KINDS
+    keys = np.isin(tags, (parity.LONE, parity.HEAD, parity.MEMBER)).sum()
+    assert keys > 2 * parity.PIECE
+    assert max(b.num_rows for b in made) < 1.1 * parity.PIECE
+    assert (tags == parity.TEXT).sum() == len(texts) and len({*tags.tolist()} - set(parity.KINDS_OF_ROWS)) == 0
+    signer = parity.Signer(5, 80)
+    assert keys == sum((np.asarray(b["tag"]) % parity.KINDS >= parity.LONE).sum() for t in texts[:4000] for b in signer.batch([(0, 0, t)]))
+
+
+def test_pieces_of_single_texts_link_alike(spark, monkeypatch):
+    monkeypatch.setattr(parity, "PIECE", 1)
+    monkeypatch.setattr(parity, "READ", 1)
+    texts = ODD_TEXTS + variants(random.Random(15), 12)
+    found = parity.linked_components(documents(spark, texts), 5, 80).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(texts, 5, 80)
+
+
 @pytest.mark.parametrize("kept", [1, 8])
 def test_pairs_of_many_blocks_are_told_once(spark, monkeypatch, kept):
     """30 nodes of one sketch in 5 to 20 blocks each; with few named blocks some pairs come again, none is lost."""
