@@ -23,6 +23,7 @@ EXPLORED = {"months": [6, 7, 8], "carriers": ["C1", "C2", "C3", "C5"], "origins"
 SAMPLE = 0.1
 EXACT_SAMPLE = 2000
 LARGE_SAMPLE = 40_000
+REQUESTS_IN_FILE = 1_000_000  # compressed lines are read by one task per file
 
 
 def rounded(data: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -601,7 +602,9 @@ def request_json(spark, sf_dir):
     odd = F.col("flight_key") % 10
     number = F.col("op_carrier_fl_num").cast("string")
     spelt = F.when(odd == 1, F.concat(number, F.lit(".0"))).when(odd == 2, "12.5").when(odd == 3, "many").otherwise(number)
-    given.withColumns({"op_carrier_fl_num": spelt, "distance": F.col("distance").cast("string")}).drop("flight_key").write.json(path)
+    given.withColumns({"op_carrier_fl_num": spelt, "distance": F.col("distance").cast("string")}).drop("flight_key").write.option(
+        "maxRecordsPerFile", REQUESTS_IN_FILE
+    ).json(path, compression="gzip")
     checked = requests.validate_requests(tables.read_requests(spark, path))
     return joined(checked, "request_errors").select(
         "flight_date", "op_unique_carrier", "op_carrier_fl_num", "origin", "dest", "crs_dep_time",

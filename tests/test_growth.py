@@ -188,6 +188,23 @@ def test_requests_read_each_number_once(spark, sf_dir, tmp_path):
     assert whole_plan(read).count("RLIKE") == len([f for f in read.schema if f.dataType.typeName() in ("integer", "double")])
 
 
+def test_written_requests_take_a_fraction_of_their_text(spark, tmp_path, monkeypatch):
+    """The lines repeat every field name; as plain text they took ten times the disk of the flights."""
+    from checks import registry
+
+    rows = spark.range(1, 2001).selectExpr(
+        "id AS l_orderkey", "id * 7 % 200 AS l_partkey", "id * 3 % 10 AS l_suppkey", "1 AS l_linenumber",
+        "CAST(id % 50 AS DOUBLE) AS l_quantity", "DATE_ADD(DATE '1995-01-01', CAST(id % 365 AS INT)) AS l_shipdate",
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(registry, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    checked = registry.request_json(spark, str(tmp_path))
+    written = list((tmp_path / "requests").glob("part-*"))
+    lines = binding.requests(spark, str(tmp_path)).drop("flight_key").select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+    assert checked.count() == 2000 and spark.read.text(f"{tmp_path}/requests").count() == 2000
+    assert sum(p.stat().st_size for p in written) < lines / 3
+
+
 def test_corrupt_rows_are_counted_without_storing_the_typed_rows(spark, sf_dir, monkeypatch):
     from checks import registry
     from ontime import schema
