@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import binding
 from checks.registry import validated
+from ontime import schema
 from ontime.operators import quality, requests
 from ontime.session import materialize, scratch_path, with_settings
 from ontime.sources import sinks
@@ -174,6 +175,59 @@ def test_a_row_carries_one_rate_per_category(spark):
     assert joins and all("_fold" in line for line in joins)
 
 
+def feature_rows(spark, rows: int):
+    """Rows with every feature, the numbers missing in some, and rates of the levels of the first category."""
+    numbers = [F.when(F.col("id") % 5 != i % 5, F.col("id") * 1.5 + i).alias(n) for i, n in enumerate(schema.NUMERIC_FEATURES)]
+    levels = [F.concat(F.lit("l"), F.col("id") % 3).alias(n) for n in schema.CATEGORY_FEATURES]
+    frame = spark.range(rows).select(
+        F.col("id").alias("flight_key"), *numbers, *levels, (F.col("id") % 2).cast("int").alias(schema.TARGET_LABEL)
+    )
+    rates = spark.createDataFrame(
+        [(c, f"l{i}", 9, 0.1 * i + place, [0.5] * 5) for place, c in enumerate(schema.CATEGORY_FEATURES) for i in range(2)],
+        "category string, level string, rows long, rate double, fold_rates array<double>",
+    )
+    return frame, rates
+
+
+def test_joins_of_rates_pass_the_numbers_as_one_value(spark, monkeypatch):
+    """Each of the fourteen joins copied some ninety columns, in a method too long to be compiled."""
+    from ontime.operators import model
+
+    def joined(node) -> list[int]:
+        own = [node.output().size()] if node.nodeName() == "Join" else []
+        return own + [n for i in range(node.children().size()) for n in joined(node.children().apply(i))]
+
+    with_settings(spark)
+    assert int(spark.conf.get("spark.sql.codegen.maxFields")) < len(schema.NUMERIC_FEATURES)
+    frame, rates = feature_rows(spark, 30)
+    stored = materialize(frame)
+    monkeypatch.setattr(model, "materialize", lambda data: data)
+    for fold in (None, model.fold_of("flight_key")):
+        widths = joined(model._vectors(stored, rates, 0.7, fold)._jdf.queryExecution().optimizedPlan())
+        assert len(widths) == len(schema.CATEGORY_FEATURES) and max(widths) < 40
+
+
+def test_packed_rows_give_the_vectors_of_their_columns(spark):
+    from pyspark.errors import PySparkException
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from ontime.operators import model
+
+    frame, rates = feature_rows(spark, 30)
+    vectors = model.assemble(model.encode(model.packed(frame), rates, 0.7))
+    assert set(vectors.columns) == {*frame.columns, *map(model.encoded_name, schema.CATEGORY_FEATURES), "features"}
+    filled = model.encode(frame, rates, 0.7).withColumns({
+        n: F.coalesce(F.col(n).cast("double"), F.lit(model.MISSING_NUMBER)) for n in schema.NUMERIC_FEATURES
+    })
+    wanted = VectorAssembler(inputCols=model.INPUTS, outputCol="features").transform(filled)
+    both = [{r[0]: r[1] for r in v.select("flight_key", vector_to_array("features")).collect()} for v in (vectors, wanted)]
+    assert both[0] == both[1] and len(both[0]) == 30
+    broken = frame.withColumn("distance", F.when(F.col("flight_key") == 7, float("nan")).otherwise(F.col("distance")))
+    with pytest.raises(PySparkException, match="NaN"):
+        model.assemble(model.encode(model.packed(broken), rates, 0.7)).select("features").collect()
+
+
 def test_requests_read_each_number_once(spark, sf_dir, tmp_path):
     """What is null is told from the number that was read, not from reading it a second time."""
     from ontime.sources import tables
